@@ -44,5 +44,5 @@ def cases_left(base: DataFrame, rolled: Mapping[str, DataFrame], key: str = CASE
     steps = [F.count_if(reduce(lambda a, b: a & b, present[: i + 1])).alias(str(i)) for i in range(len(present))]
     counts = df.agg(F.count(F.lit(1)).alias("base"), *steps)
     rows = [F.struct(F.lit(0).alias("step"), F.lit("base").alias("table"), F.col("base").alias("cases"))]
-    rows += [F.struct(F.lit(i + 1), F.lit(n), F.col(str(i))) for i, n in enumerate(rolled)]
+    rows += [F.struct(F.lit(i + 1).alias("step"), F.lit(n).alias("table"), F.col(str(i)).alias("cases")) for i, n in enumerate(rolled)]
     return counts.select(F.inline(F.array(*rows)))

@@ -660,18 +660,6 @@ JOIN_ORDER = (
     "tax_registry_b_1", "tax_registry_c_1", "other_1", "static_0", "static_cb_0",
 )
 
-# Dates of the wide table that become days before the decision; all date columns of static_0 join them.
-DATE_FEATURES = (
-    "empls_employedfrom_796D_271D", "birth_259D_87D", "refreshdate_3813885D_max", "approvaldate_319D_last",
-    "creationdate_885D_last", "dateactivated_425D_last", "dtlastpmt_581D_last", "dtlastpmtallstes_3545839D_last",
-    "firstnonzeroinstldate_307D_last", "employedfrom_700D_last", "employedfrom_700D_first", "openingdate_857D_last",
-    "openingdate_857D_first", "openingdate_313D_first", "openingdate_313D_last", "recorddate_4527225D",
-    "deductiondate_4917603D_last", "processingdate_168D_last", "dateofcredstart_739D_mean", "dateofcredstart_181D_mean",
-    "dateofrealrepmt_138D_mean", "dateofcredend_353D_mean", "overdueamountmax2date_1142D_max",
-    "numberofoverdueinstlmaxdat_148D_max", "numberofoverdueinstlmaxdat_641D_mean", "overdueamountmax2date_1002D_mean",
-    "dateofcredstart_181D_max", "dateofcredend_289D_mean", "dateofcredend_353D_max", *_CB_DATES,
-)
-
 # Columns dropped from the wide table: categories of places, columns of one value, endings.
 PLACE_COLUMNS = (
     "previouscontdistrict_112M_encoded", "contaddr_zipcode_807M_encoded_mode", "contaddr_zipcode_807M_encoded_last",
