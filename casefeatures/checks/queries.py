@@ -683,7 +683,7 @@ def seq_diff_last(spark, d):
     return _sequence(spark, d, "difflast")
 
 
-LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey"]
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
 @query
