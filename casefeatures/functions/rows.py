@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +30,8 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 def drop_all_null_rows(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Keep rows with a value in at least one of the columns. NaN counts as a value."""
-    known = [quoted(c).isNotNull() for c in columns]
-    return df.filter(reduce(lambda a, b: a | b, known)) if known else df
+    known = [F.when(quoted(c).isNotNull(), True) for c in columns]
+    return df.filter(F.coalesce(*known)) if known else df
 
 
 def fill_null(c: Column, value) -> Column:

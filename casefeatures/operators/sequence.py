@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from casefeatures.functions.schema import quoted
@@ -20,7 +19,6 @@ from casefeatures.operators.hotgroups import (
     exact_median,
     in_pieces,
     join_pieces,
-    piece_window,
     same_keys,
     split_hot,
 )
@@ -29,68 +27,64 @@ TAIL = 3
 KINDS = ("tail_mean", "diffmean", "diffstd", "difflast")
 
 
-def _order_value(order: Sequence[str]) -> Column:
-    return quoted(order[0]) if len(order) == 1 else F.struct(*[quoted(o) for o in order])
+def _listed(names: Sequence[str]) -> str:
+    return ", ".join(f"`{n}`" for n in names)
 
 
-def _positives(c: str) -> Column:
-    return F.count(F.when(quoted(c) > 0, F.lit(1)))
+def _window(part: Sequence[str], order: Sequence[str], rows: str) -> str:
+    return f"OVER (PARTITION BY {_listed(part)} ORDER BY {_listed(order)} ROWS BETWEEN UNBOUNDED PRECEDING AND {rows})"
 
 
 def _marks(df: DataFrame, part: Sequence[str], order: Sequence[str], columns: Sequence[str], peaks: Sequence[str]) -> DataFrame:
-    w = W.partitionBy(*[quoted(k) for k in part]).orderBy(*[quoted(o) for o in order])
-    before = w.rowsBetween(W.unboundedPreceding, -1)
-    upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
-    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return df.select(
+    before, upto = _window(part, order, "1 PRECEDING"), _window(part, order, "CURRENT ROW")
+    whole = _window(part, order, "UNBOUNDED FOLLOWING")
+    return df.selectExpr(
         "*",
-        *[F.last(quoted(c), ignorenulls=True).over(before).alias(f"_prev_{c}") for c in columns],
-        *[F.count(quoted(c)).over(whole).alias(f"_all_{c}") for c in columns],
-        *[F.count(quoted(c)).over(upto).alias(f"_upto_{c}") for c in columns],
-        *[_positives(c).over(upto).alias(f"_place_{c}") for c in peaks],
+        *[f"last(`{c}`, true) {before} AS `_prev_{c}`" for c in columns],
+        *[f"count(`{c}`) {whole} AS `_all_{c}`" for c in columns],
+        *[f"count(`{c}`) {upto} AS `_upto_{c}`" for c in columns],
+        *[f"count(CASE WHEN `{c}` > 0 THEN 1 END) {upto} AS `_place_{c}`" for c in peaks],
     )
 
 
 def _carry(pieces: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], peaks: Sequence[str]) -> DataFrame:
     """Per piece: the last value before it, the values after it, the positive values before it."""
-    o = _order_value(order)
+    place = f"struct({_listed(order)})"
     totals = pieces.groupBy(*[quoted(k) for k in keys], PIECE).agg(
-        *[F.max_by(quoted(c), F.when(quoted(c).isNotNull(), o)).alias(f"_end_{c}") for c in columns],
-        *[F.count(quoted(c)).alias(f"_count_{c}") for c in columns],
-        *[_positives(c).alias(f"_pos_{c}") for c in peaks],
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.expr(f"max_by(`{c}`, CASE WHEN `{c}` IS NOT NULL THEN {place} END) AS `_end_{c}`") for c in columns],
+        *[F.expr(f"count(`{c}`) AS `_count_{c}`") for c in columns],
+        *[F.expr(f"count(CASE WHEN `{c}` > 0 THEN 1 END) AS `_pos_{c}`") for c in peaks],
     )
-    w = piece_window(keys)
-    before = w.rowsBetween(W.unboundedPreceding, -1)
-    upto = w.rowsBetween(W.unboundedPreceding, W.currentRow)
-    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return totals.select(
-        *[quoted(k) for k in keys],
-        PIECE,
-        *[F.last(quoted(f"_end_{c}"), ignorenulls=True).over(before).alias(f"_from_{c}") for c in columns],
-        *[(F.sum(quoted(f"_count_{c}")).over(whole) - F.sum(quoted(f"_count_{c}")).over(upto)).alias(f"_after_{c}") for c in columns],
-        *[F.coalesce(F.sum(quoted(f"_pos_{c}")).over(before), F.lit(0)).alias(f"_ahead_{c}") for c in peaks],
+    before, upto = _window(keys, [PIECE], "1 PRECEDING"), _window(keys, [PIECE], "CURRENT ROW")
+    whole = _window(keys, [PIECE], "UNBOUNDED FOLLOWING")
+    return totals.selectExpr(
+        *[f"`{k}`" for k in (*keys, PIECE)],
+        *[f"last(`_end_{c}`, true) {before} AS `_from_{c}`" for c in columns],
+        *[f"sum(`_count_{c}`) {whole} - sum(`_count_{c}`) {upto} AS `_after_{c}`" for c in columns],
+        *[f"coalesce(sum(`_pos_{c}`) {before}, 0) AS `_ahead_{c}`" for c in peaks],
     )
 
 
 def with_marks(split: Split, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], peaks: Sequence[str] = ()) -> DataFrame:
     """Rows with, per column, ``_prev_`` (the last value before), ``_left_`` (how many values follow), ``_place_``."""
-    keep = [quoted(c) for c in (split.cold if split.cold is not None else split.hot).columns]
+    keep = [f"`{c}`" for c in (split.cold if split.cold is not None else split.hot).columns]
     out = None
     if split.cold is not None:
-        out = _marks(split.cold, keys, order, columns, peaks).select(
+        out = _marks(split.cold, keys, order, columns, peaks).selectExpr(
             *keep,
-            *[quoted(f"_prev_{c}") for c in columns],
-            *[(quoted(f"_all_{c}") - quoted(f"_upto_{c}")).alias(f"_left_{c}") for c in columns],
-            *[quoted(f"_place_{c}") for c in peaks],
+            *[f"`_prev_{c}`" for c in columns],
+            *[f"`_all_{c}` - `_upto_{c}` AS `_left_{c}`" for c in columns],
+            *[f"`_place_{c}`" for c in peaks],
         )
     if split.hot is not None:
         pieces = in_pieces(split, keys, order)
         rows = join_pieces(pieces, _carry(pieces, keys, order, columns, peaks), keys)
-        hot = _marks(rows, [*keys, PIECE], order, columns, peaks).select(
+        hot = _marks(rows, [*keys, PIECE], order, columns, peaks).selectExpr(
             *keep,
-            *[F.coalesce(quoted(f"_prev_{c}"), quoted(f"_from_{c}")).alias(f"_prev_{c}") for c in columns],
-            *[(quoted(f"_all_{c}") - quoted(f"_upto_{c}") + quoted(f"_after_{c}")).alias(f"_left_{c}") for c in columns],
-            *[(quoted(f"_place_{c}") + quoted(f"_ahead_{c}")).alias(f"_place_{c}") for c in peaks],
+            *[f"coalesce(`_prev_{c}`, `_from_{c}`) AS `_prev_{c}`" for c in columns],
+            *[f"`_all_{c}` - `_upto_{c}` + `_after_{c}` AS `_left_{c}`" for c in columns],
+            *[f"`_place_{c}` + `_ahead_{c}` AS `_place_{c}`" for c in peaks],
         )
         out = hot if out is None else out.unionByName(hot)
     return out
@@ -98,29 +92,20 @@ def with_marks(split: Split, keys: Sequence[str], order: Sequence[str], columns:
 
 def sequence_aggs(columns: Sequence[str], kinds: Sequence[str] = KINDS, tail: int = TAIL) -> list[Column]:
     """Reduce marked rows: mean and maximum of the last values, mean, spread and last of the steps."""
-    out = []
-    for c in columns:
-        v, left = quoted(c), quoted(f"_left_{c}")
-        step = v - quoted(f"_prev_{c}")
-        made = {
-            "tail_mean": F.avg(F.when(left < tail, v)),
-            "tail_max": F.max(F.when(left < tail, v)),
-            "diffmean": F.avg(step),
-            "diffstd": F.stddev_samp(step),
-            "difflast": F.max(F.when(left == 0, step)),
-        }
-        out += [made[k].alias(f"{c}_{k}") for k in kinds]
-    return out
+    forms = {
+        "tail_mean": "avg(CASE WHEN `_left_{c}` < {tail} THEN `{c}` END)",
+        "tail_max": "max(CASE WHEN `_left_{c}` < {tail} THEN `{c}` END)",
+        "diffmean": "avg(`{c}` - `_prev_{c}`)",
+        "diffstd": "stddev_samp(`{c}` - `_prev_{c}`)",
+        "difflast": "max(CASE WHEN `_left_{c}` = 0 THEN `{c}` - `_prev_{c}` END)",
+    }
+    return [F.expr(f"{forms[k].format(c=c, tail=tail)} AS `{c}_{k}`") for c in columns for k in kinds]
 
 
 def peak_aggs(peaks: Sequence[str]) -> list[Column]:
     """0-based place, among the values above 0, of the first maximum."""
-    out = []
-    for c in peaks:
-        v, place = quoted(c), quoted(f"_place_{c}")
-        best = F.max(F.when(v > 0, F.struct(v.alias("v"), (-place).alias("p"))))
-        out.append((-best["p"] - 1).alias(f"{c}_maxidx"))
-    return out
+    best = "max(CASE WHEN `{c}` > 0 THEN struct(`{c}` AS v, -`_place_{c}` AS p) END)"
+    return [F.expr(f"-{best.format(c=c)}.p - 1 AS `{c}_maxidx`") for c in peaks]
 
 
 def group_features(
