@@ -21,7 +21,7 @@ def derive(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
 def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Drop by list; names that are not there are ignored."""
     names = set(names)
-    return df.select(*[quoted(n) for n in df.columns if n not in names])
+    return df.selectExpr(*[f"`{n}`" for n in df.columns if n not in names])
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -30,8 +30,8 @@ def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
 
 def drop_all_null_rows(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Keep rows with a value in at least one of the columns. NaN counts as a value."""
-    known = [F.when(quoted(c).isNotNull(), True) for c in columns]
-    return df.filter(F.coalesce(*known)) if known else df
+    known = ", ".join(f"CASE WHEN `{c}` IS NOT NULL THEN true END" for c in columns)
+    return df.filter(f"coalesce({known}, false)") if known else df
 
 
 def fill_null(c: Column, value) -> Column:
@@ -44,12 +44,8 @@ def nan_to_null(c: Column) -> Column:
 
 def all_nan_to_null(df: DataFrame) -> DataFrame:
     """NaN to null in every float column."""
-    return df.select(
-        *[
-            nan_to_null(quoted(f.name)).alias(f.name) if isinstance(f.dataType, FLOAT_TYPES) else quoted(f.name)
-            for f in df.schema.fields
-        ]
-    )
+    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, FLOAT_TYPES)}
+    return df.selectExpr(*[f"CASE WHEN NOT isnan(`{n}`) THEN `{n}` END AS `{n}`" if n in floats else f"`{n}`" for n in df.columns])
 
 
 def sentinel_to_null(c: Column, value=MISSING) -> Column:
@@ -107,12 +103,8 @@ def days_between(a: Column, b: Column) -> Column:
 def days_before_ref(df: DataFrame, ref: str, columns: Iterable[str], drop_ref: bool = True) -> DataFrame:
     """Each listed date column becomes the days from it to the reference date."""
     columns = set(columns)
-    out = [
-        days_between(quoted(ref), quoted(n)).alias(n) if n in columns else quoted(n)
-        for n in df.columns
-        if not (drop_ref and n == ref)
-    ]
-    return df.select(*out)
+    names = [n for n in df.columns if not (drop_ref and n == ref)]
+    return df.selectExpr(*[f"datediff(`{ref}`, `{n}`) AS `{n}`" if n in columns else f"`{n}`" for n in names])
 
 
 def date_parts(c: Column, name: str) -> list[Column]:

@@ -103,21 +103,32 @@ def _narrowest(field: T.StructField, low, high) -> str | None:
     return None
 
 
+def column_ranges(df: DataFrame, fields: Sequence[T.StructField], at_once: int = 100) -> dict[str, tuple]:
+    """Least and greatest value per column, NaN aside; one row per ``at_once`` columns reaches the driver.
+
+    A wide table is asked in several aggregations, each over its own columns: a columnar file is still
+    read once in all, and the generated code of each stays small.
+    """
+    out = {}
+    for start in range(0, len(fields), at_once):
+        part = fields[start : start + at_once]
+        bounds = []
+        for i, f in enumerate(part):
+            c = f"CASE WHEN NOT isnan(`{f.name}`) THEN `{f.name}` END" if isinstance(f.dataType, FLOAT_TYPES) else f"`{f.name}`"
+            bounds += [F.expr(f"min({c}) AS low{i}"), F.expr(f"max({c}) AS high{i}")]
+        row = df.agg(*bounds).first()
+        out |= {f.name: (row[f"low{i}"], row[f"high{i}"]) for i, f in enumerate(part)}
+    return out
+
+
 def narrow_types(df: DataFrame, keep: Iterable[str] = KEY_COLUMNS) -> DataFrame:
-    """Each numeric column in the smallest type that strictly holds its range.
+    """Each numeric column in the smallest type that strictly holds its range, in one projection.
 
-    One aggregation finds all ranges (one row reaches the driver), one projection casts.
-    Columns of nulls only, and the ``keep`` columns, stay as they are.
+    Needs the ranges of the columns, so ``df`` should be a stored table. Columns of nulls only, and the ``keep``
+    columns, stay as they are.
     """
     keep = set(keep)
     fields = [f for f in df.schema.fields if isinstance(f.dataType, INTEGER_TYPES + FLOAT_TYPES) and f.name not in keep]
-    if not fields:
-        return df
-    bounds = []
-    for i, f in enumerate(fields):
-        c = quoted(f.name)
-        c = F.when(~F.isnan(c), c) if isinstance(f.dataType, FLOAT_TYPES) else c
-        bounds += [F.min(c).alias(f"low{i}"), F.max(c).alias(f"high{i}")]
-    row = df.agg(*bounds).first()
-    to = {f.name: _narrowest(f, row[f"low{i}"], row[f"high{i}"]) for i, f in enumerate(fields)}
-    return df.select(*[quoted(n).cast(to[n]).alias(n) if to.get(n) else quoted(n) for n in df.columns])
+    ranges = column_ranges(df, fields)
+    to = {f.name: _narrowest(f, *ranges[f.name]) for f in fields}
+    return df.selectExpr(*[f"CAST(`{n}` AS {to[n]}) AS `{n}`" if to.get(n) else f"`{n}`" for n in df.columns])

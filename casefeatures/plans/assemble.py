@@ -101,7 +101,11 @@ def assemble_features(
     keep: Callable[[str, DataFrame], DataFrame] | None = None,
     narrow: bool = True,
 ) -> DataFrame:
-    """One wide row per case. ``narrow`` needs a pass over the result to find the ranges; store the roll-ups first."""
+    """One wide row per case.
+
+    ``keep`` stores each roll-up and the wide table, so that no plan spans the whole job; ``narrow`` then takes a
+    pass over the stored table to find the ranges.
+    """
     lookup = fit_lookups(tables) if lookup is None else lookup
     wide = join_all(tables["base"], roll_up_all(tables, lookup, keep), kind)
     dates = [f.name for f in wide.schema.fields if isinstance(f.dataType, T.DateType) and f.name != "date_decision"]
@@ -111,6 +115,7 @@ def assemble_features(
     wide = date_features(wide, dates)
     wide = R.all_nan_to_null(wide)
     wide = prune_features(wide, weak, (*K.PLACE_COLUMNS, *K.ONE_VALUE_COLUMNS))
+    wide = keep("wide", wide) if keep else wide
     return narrow_types(wide) if narrow else wide
 
 
