@@ -37,7 +37,7 @@ def line_number() -> Column:
     return F.expr(LINE_NUMBER)
 
 
-LINE_NUMBER = "CAST(l_linenumber AS BIGINT) * 1000000000000 + l_partkey * 1000000 + l_suppkey"
+LINE_NUMBER = "(CAST(l_linenumber AS BIGINT) * 1000000000000 + l_partkey * 100000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT)"
 
 SOURCES = {
     0: ("c_custkey AS case_id", "c_custkey * 7919", "customer"),
@@ -91,26 +91,41 @@ def _listed(spec: TableSpec, c: str) -> list[str]:
     return list(dict.fromkeys(out))
 
 
+def kind_of(spec: TableSpec, c: str) -> str:
+    """What a raw column holds: bool, date, year, month, place, word or num."""
+    words = {k.column for k in spec.categories} | set(spec.one_hot) | {f for f, _ in spec.flags.values()} | set(spec.counts_of) | set(spec.bools)
+    if c in BOOLEANS or c in spec.bools:
+        return "bool"
+    if c.endswith("D"):
+        return "date"
+    if c.endswith("T") and ("year_" in c or "month_" in c):
+        return "year" if "year_" in c else "month"
+    if c in spec.split_first:
+        return "place"
+    if c in words or c == "sex_738L" or c.endswith(("M", "T")) and c != "riskassesment_940T":
+        return "word"
+    return "num"
+
+
 def _value(spec: TableSpec, c: str, i: int, seed: str) -> str:
     h = f"(({seed} + {i * 611953 + 17}) % 1000003)"
-    words = {k.column for k in spec.categories} | set(spec.one_hot) | {f for f, _ in spec.flags.values()} | set(spec.counts_of)
-    if c in BOOLEANS or c in spec.bools:
+    kind, listed = kind_of(spec, c), _listed(spec, c)
+    if kind == "bool":
         return f"CASE WHEN {h} % 9 = 0 THEN NULL ELSE {h} % 2 = 0 END"
     if c == "sex_738L":
         return f"CASE {h} % 5 WHEN 0 THEN NULL WHEN 1 THEN 'F' WHEN 2 THEN 'F' ELSE 'M' END"
-    if c.endswith("D"):
+    if kind == "date":
         return f"CASE WHEN {h} % 6 = 0 THEN NULL ELSE DATE '1996-01-01' + CAST({h} % 1700 AS INT) END"
-    if "year_" in c and c.endswith("T"):
+    if kind == "year":
         return f"CASE WHEN {h} % 8 = 0 THEN NULL ELSE CAST(2008 + {h} % 12 AS STRING) || '.0' END"
-    if "month_" in c and c.endswith("T"):
+    if kind == "month":
         return f"CASE WHEN {h} % 8 = 0 THEN NULL ELSE CAST(1 + {h} % 13 AS STRING) || '.0' END"
-    if c in spec.split_first:
+    if kind == "place":
         return f"CASE WHEN {h} % 7 = 0 THEN '{MISSING}' ELSE 'P' || CAST({h} % 40 AS STRING) || '_' || CAST({h} % 9 AS STRING) || '_x' END"
-    listed = _listed(spec, c)
     if listed:
         cases = " ".join(f"WHEN {n} THEN '{v}'" for n, v in enumerate(listed))
         return f"CASE {h} % {len(listed) + 2} {cases} WHEN {len(listed)} THEN 'elsewhere' ELSE NULL END"
-    if c in words or c.endswith(("M", "T")) and c not in ("riskassesment_940T",):
+    if kind == "word":
         return f"CASE WHEN {h} % 5 = 0 THEN '{MISSING}' WHEN {h} % 17 = 0 THEN NULL ELSE 'k' || CAST({h} % 7 AS STRING) END"
     return f"CASE WHEN {h} % 11 = 0 THEN NULL WHEN {h} % 7 = 0 THEN 0e0 ELSE CAST({h} % 20000 AS DOUBLE) / 1e2 END"
 

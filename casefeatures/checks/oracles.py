@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from casefeatures.checks.casetables import LINE_NUMBER, case_sql
 from casefeatures.checks.queries import PRIORITY_DAYS, PRIORITY_RANKS
+from casefeatures.checks.specsql import encoded_oracle, spec_oracle
+from casefeatures.plans.tables import SPECS
 
 ORACLES: dict[str, str] = {}
 
@@ -412,6 +414,9 @@ oracle(
     "agg AS (SELECT case_id, num_group1, " + ", ".join(f'{sql} AS "{n}"' for n, sql in _aggs.items()) + " FROM t GROUP BY 1, 2)",
     f"SELECT * FROM agg JOIN ({_seq_select}) USING (case_id, num_group1)",
 )
+for _name in SPECS:
+    ORACLES.setdefault(f"table_{_name}", spec_oracle(_name))
+ORACLES["encode_table"] = encoded_oracle("credit_bureau_b_1")
 oracle("prune_features", "SELECT o_orderkey, CAST(o_orderkey % 5 AS INTEGER) AS c_encoded_last FROM orders")
 
 # --- training ----------------------------------------------------------------------------------

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casefeatures.functions import rows as R
 from casefeatures.functions import schema as S
@@ -716,9 +717,19 @@ def _lookup_for(spark, d, name: str) -> DataFrame:
     return assemble.fit_lookups({"base": casetables.case_table(spark, d, "base"), name: casetables.case_table(spark, d, name)})
 
 
+PLAIN_TABLES = ("debitcard_1", "deposit_1", "tax_registry_a_1", "tax_registry_b_1", "tax_registry_c_1", "other_1", "credit_bureau_b_2")
+
+
+def _as_doubles(df: DataFrame) -> DataFrame:
+    """All numbers but the keys as rounded doubles."""
+    numbers = {f.name for f in df.schema.fields if isinstance(f.dataType, (*S.NUMERIC_TYPES, T.BooleanType))} - set(S.KEY_COLUMNS)
+    return df.selectExpr(*[f"floor(CAST(`{n}` AS DOUBLE) * 10000 + 0.37D) / 10000 AS `{n}`" if n in numbers else f"`{n}`" for n in df.columns])
+
+
 def _register_table(name: str) -> None:
     def run(spark, d):
-        return _rounded(_rolled(spark, d, name))
+        out = _rolled(spark, d, name)
+        return _rounded(out) if name in PLAIN_TABLES else _as_doubles(out)
 
     run.__name__ = f"table_{name}"
     query(run)
@@ -766,7 +777,9 @@ ORDERS_SPEC = TableSpec(
 
 @query
 def encode_table(spark, d):
-    return _rounded(P.static_table(casetables.case_table(spark, d, "static_cb_0"), SPECS["static_cb_0"], _lookup_for(spark, d, "static_cb_0")))
+    spec = SPECS["credit_bureau_b_1"]
+    rows = P.encode_table(S.cast_by_suffix(casetables.case_table(spark, d, spec.name)), spec, _lookup_for(spark, d, spec.name))
+    return _as_doubles(rows)
 
 
 @query
