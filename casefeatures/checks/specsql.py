@@ -24,7 +24,7 @@ def q(c: str) -> str:
 
 
 def num(c: str, spec: TableSpec | None = None) -> str:
-    x = f"({q(c)} - DATE '1970-01-01')" if c.endswith("D") else f"TRY_CAST({q(c)} AS DOUBLE)"
+    x = f"({q(c)} - DATE '1970-01-01')" if c.endswith("D") and not c.startswith("num_") else f"TRY_CAST({q(c)} AS DOUBLE)"
     return f"nullif({x}, {spec.null_values[c]})" if spec and c in spec.null_values else x
 
 
