@@ -38,6 +38,7 @@ class Split:
     hot: DataFrame | None = None
     hot_rows: int = 0
     limit: int = 0
+    hot_keys: DataFrame | None = None
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -67,7 +68,7 @@ def split_hot(df: DataFrame, keys: Sequence[str], counted: DataFrame | None = No
         return Split(df, limit=limit)
     hot_keys = F.broadcast(sizes.filter(F.col("_rows") > limit).drop("_rows"))
     on = same_keys(df, hot_keys, keys)
-    return Split(df.join(hot_keys, on, "left_anti"), df.join(hot_keys, on, "left_semi"), row["hot_rows"], limit)
+    return Split(df.join(hot_keys, on, "left_anti"), df.join(hot_keys, on, "left_semi"), row["hot_rows"], limit, hot_keys)
 
 
 def in_pieces(split: Split, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -8,10 +8,25 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casefeatures.operators.hotgroups import same_keys, split_hot
+
 CASE = "case_id"
 CHILD_KEYS = ("case_id", "num_group1")
 
 
+def join_one(rows: DataFrame, side: DataFrame, key: str = CASE) -> DataFrame:
+    """Inner join of many rows per key with a table of one row per key.
+
+    Rows of hot keys meet the few side rows of those keys by broadcast (at most MAX_HOT_KEYS rows), so that
+    no task gets all rows of a key; the others are joined as usual.
+    """
+    split = split_hot(rows, [key])
+    if split.hot is None:
+        return rows.join(side, key)
+    few = side.join(split.hot_keys, same_keys(side, split.hot_keys, [key]), "left_semi")
+    return split.cold.join(side, key).unionByName(split.hot.join(F.broadcast(few), key))
+
+
 def join_child_level(depth1: DataFrame, rolled: DataFrame, keys: Sequence[str] = CHILD_KEYS) -> DataFrame:
     """Bring rolled-up depth-2 rows to their depth-1 row. The full key is unique, so no key is hot."""
     return depth1.join(rolled, list(keys), "left")

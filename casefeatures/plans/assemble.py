@@ -13,7 +13,7 @@ from casefeatures.operators.encode import given_values, index_categories, lookup
 from casefeatures.operators.joins import join_base
 from casefeatures.plans import tables as K
 from casefeatures.plans.rollup import fit_table, rollup_depth1, rollup_depth2, static_table
-from casefeatures.sources.files import checkpointed, scan_parts, written
+from casefeatures.sources.files import bucketed, checkpointed, scan_parts, written
 
 NO_FEATURES = ("target", "case_id", "WEEK_NUM", "MONTH", "date_decision")
 
@@ -58,7 +58,7 @@ def roll_up_all(
     for name in K.JOIN_ORDER:
         spec, table = K.SPECS[name], tables[name]
         if spec.depth == 0:
-            out[name] = static_table(table, spec, lookup, sizes)
+            out[name] = keep(name, static_table(table, spec, lookup, sizes))
             continue
         child = None
         if spec.child:
@@ -71,6 +71,11 @@ def stored_under(path: str) -> Callable[[str, DataFrame], DataFrame]:
     return lambda name, df: written(df, f"{path}/{name}")
 
 
+def bucketed_as(prefix: str, buckets: int) -> Callable[[str, DataFrame], DataFrame]:
+    """Store each roll-up bucketed by the case: joining them all then shuffles the base only."""
+    return lambda name, df: bucketed(df, f"{prefix}{name}", "case_id", buckets)
+
+
 def join_all(base: DataFrame, rolled: Mapping[str, DataFrame], kind: str) -> DataFrame:
     """Join the roll-ups to the base: inner for "train", left for "test"."""
     how = "left" if kind == "test" else "inner"

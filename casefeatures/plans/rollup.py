@@ -12,7 +12,7 @@ from casefeatures.functions import rows as R
 from casefeatures.functions.schema import cast_by_suffix, lenient_cast, numeric_columns, pick_columns, quoted
 from casefeatures.operators import aggregates as A
 from casefeatures.operators.encode import encode, fit_encodings
-from casefeatures.operators.joins import join_child_level
+from casefeatures.operators.joins import join_child_level, join_one
 from casefeatures.operators.sequence import group_features
 from casefeatures.plans.spec import NO_SEQUENCE, TableSpec
 
@@ -237,4 +237,4 @@ def fit_table(df: DataFrame, spec: TableSpec, base: DataFrame, target: str = "ta
     fitted = {c.lookup: c for c in spec.categories if any(k != "value" for k, _ in c.kinds) and not c.fitted_on}
     typed = cast_by_suffix(df)
     typed = R.derive(typed, {c: R.split_first(quoted(c)) for c in spec.split_first}) if spec.split_first else typed
-    return fit_encodings(typed.join(base.select("case_id", target), "case_id"), list(fitted.values()), target)
+    return fit_encodings(join_one(typed, base.select("case_id", target)), list(fitted.values()), target)

@@ -63,6 +63,12 @@ def sink_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     df.write.bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
 
 
+def bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+    """Store a table bucketed by the key and read it back."""
+    sink_bucketed(df, table, key, buckets)
+    return df.sparkSession.table(table)
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     """Write a table and read it back: the plan behind it ends here."""
     sink_parquet(df, path)

@@ -93,3 +93,30 @@ def test_raw_columns_follow_the_name_rule():
     for spec in K.SPECS.values():
         columns = casetables.raw_columns(spec)
         assert columns and all(casetables.COLUMN.fullmatch(c) for c in columns)
+
+
+def test_hot_cases_in_fitting(spark, small, rows_per_task):
+    rows = casetables.case_table(spark, small, "deposit_1").select(F.when(F.col("case_id") % 2 == 0, 0).otherwise(F.col("case_id")).alias("case_id"), "amount_416A")
+    base = casetables.case_table(spark, small, "base").select("case_id", "target")
+    want = sorted(map(tuple, J.join_one(rows, base).collect()), key=str)
+    rows_per_task(200)
+    out = J.join_one(rows, base)
+    assert sorted(map(tuple, out.collect()), key=str) == want and len(want) > 500
+
+
+def test_bucketed_roll_ups_are_joined_without_shuffling_them(spark, small, monkeypatch):
+    chosen = ("deposit_1", "tax_registry_a_1", "tax_registry_b_1")
+    monkeypatch.setattr(K, "JOIN_ORDER", chosen)
+    keep = assemble.bucketed_as("rolled_", 8)
+    base = casetables.case_table(spark, small, "base")
+    rolled = {n: keep(n, rollup_depth1(casetables.case_table(spark, small, n), K.SPECS[n])) for n in chosen}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = assemble.join_all(base, rolled, "test")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and plan.count("SortMergeJoin") == 3
+        assert out.count() == base.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for n in chosen:
+            spark.sql(f"drop table rolled_{n}")
