@@ -315,6 +315,22 @@ oracle(
     *sequence_sql("cl", ["l_orderkey"], "l_linenumber, l_partkey, l_suppkey, l_extendedprice", ["disc", "l_quantity", "l_extendedprice"], ALL_KINDS),
 )
 
+# --- hot groups --------------------------------------------------------------------------------
+
+HOT_EVENTS = "he AS (SELECT * REPLACE (CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS user_id) FROM ce)"
+_seq, _seq_select = sequence_sql("he", ["user_id"], "ts, event_id", ["v"], ALL_KINDS)
+oracle(
+    "hot_sequence", CASE_EVENTS, HOT_EVENTS, _seq,
+    f"""agg AS (SELECT user_id, count(*) AS n, {f4('median(v)')} AS v_median,
+       CAST(list_position(list(v ORDER BY ts, event_id) FILTER (WHERE v > 0), max(CASE WHEN v > 0 THEN v END)) - 1 AS BIGINT) AS v_maxidx FROM he GROUP BY 1)""",
+    f"SELECT * FROM agg JOIN ({_seq_select}) USING (user_id)",
+)
+oracle(
+    "hot_row_numbers", CASE_EVENTS, HOT_EVENTS,
+    """SELECT user_id, event_id, row_number() OVER (ORDER BY ts, event_id) AS place,
+       row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place_of_user FROM he""",
+)
+
 # --- whole jobs --------------------------------------------------------------------------------
 
 _lines = f"""li AS (SELECT l_orderkey AS num_group1, {LINE_NUMBER} AS n2, nullif(l_discount, 0) AS "disc_1A", l_quantity AS "qty_2A",
@@ -442,6 +458,7 @@ def area(weight: str, key: str = "") -> str:
 
 
 oracle("weighted_auc", _scored, area("weight"), f"SELECT {f4('auc')} AS auc FROM ar")
+ORACLES["hot_auc"] = ORACLES["weighted_auc"]
 oracle("auc", _scored, area("1.0::DOUBLE"), f"SELECT {f4('auc')} AS auc FROM ar")
 oracle("cv_summary", _scored, area("1.0::DOUBLE", "fold"), f"SELECT CAST(count(*) AS INTEGER) AS folds, {f4('avg(auc)')} AS mean_score, {f4('max(auc)')} AS max_score FROM ar")
 oracle("select_weak_features", "SELECT CAST(l_partkey AS VARCHAR) AS feature_name FROM lineitem GROUP BY l_partkey HAVING count(*) < 25")

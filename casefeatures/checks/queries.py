@@ -13,8 +13,8 @@ from casefeatures.functions import schema as S
 from casefeatures.operators import aggregates as A
 from casefeatures.operators import encode as E
 from casefeatures.operators import joins as J
-from casefeatures.operators.hotgroups import exact_median, exact_mode
-from casefeatures.operators.sequence import peak_places, sequence_features
+from casefeatures.operators.hotgroups import exact_median, exact_mode, row_numbers
+from casefeatures.operators.sequence import group_features, peak_places, sequence_features
 from casefeatures.checks import casetables
 from casefeatures.plans import assemble
 from casefeatures.plans import rollup as P
@@ -695,6 +695,36 @@ def seq_lines(spark, d):
     return out.select("l_orderkey", *[fixed4(F.col(c)).alias(c) for c in out.columns if c != "l_orderkey"])
 
 
+# --- hot groups: a third of all rows and more in one key, cut into pieces --------------------------
+
+
+def _hot_events(spark, d) -> DataFrame:
+    """Every third user's events belong to user 0."""
+    ev = case_events(spark, d)
+    return ev.withColumn("user_id", F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id")))
+
+
+@query
+def hot_sequence(spark, d):
+    kinds = ["tail_mean", "tail_max", "diffmean", "diffstd", "difflast"]
+    out = group_features(
+        _hot_events(spark, d), ["user_id"], ["ts", "event_id"], [F.count(F.lit(1)).alias("n")], ["v"], kinds, ["v"], [(F.col("v"), "v_median")], limit=500
+    )
+    return out.select("user_id", "n", "v_maxidx", *[fixed4(F.col(f"v_{k}")).alias(f"v_{k}") for k in (*kinds, "median")])
+
+
+@query
+def hot_row_numbers(spark, d):
+    ev = _hot_events(spark, d).select("user_id", "event_id", "ts")
+    whole = row_numbers(ev, [], ["ts", "event_id"], "place", limit=1000)
+    return row_numbers(whole, ["user_id"], ["ts", "event_id"], "place_of_user", limit=500).drop("ts")
+
+
+@query
+def hot_auc(spark, d):
+    return scores.weighted_auc(_scored(spark, d), "score", "target", "weight", limit=100).select(fixed4(F.col("auc")).alias("auc"))
+
+
 # --- whole jobs --------------------------------------------------------------------------------
 
 

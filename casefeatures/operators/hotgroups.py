@@ -45,15 +45,16 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[f"`{k}`"].eqNullSafe(right[f"`{k}`"]) for k in keys])
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], counted: DataFrame | None = None) -> Split:
+def split_hot(df: DataFrame, keys: Sequence[str], counted: DataFrame | None = None, limit: int | None = None) -> Split:
     """Count rows per key (columns pruned to the key, combined before the shuffle) and part the table.
 
-    ``counted`` may name a cheaper table with the same keys and at least as many rows per key.
+    ``counted`` may name a cheaper table with the same keys and at least as many rows per key; ``limit`` sets
+    the rows a task takes, in place of the session's setting.
     The hot keys that are broadcast are at most MAX_HOT_KEYS: a key is hot only above
     1/MAX_HOT_KEYS of all rows.
     """
     counted = df if counted is None else counted
-    limit = rows_per_task(df.sparkSession)
+    limit = limit or rows_per_task(df.sparkSession)
     if not keys:
         rows = counted.count()
         return Split(df, limit=limit) if rows <= limit else Split(None, df, rows, limit)
@@ -93,12 +94,12 @@ def join_pieces(pieces: DataFrame, carried: DataFrame, keys: Sequence[str]) -> D
     return pieces.join(carried, on).drop(*[carried[f"`{c}`"] for c in (*keys, PIECE)])
 
 
-def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Mapping[str, Column]) -> DataFrame:
+def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: Mapping[str, Column], limit: int | None = None) -> DataFrame:
     """Add per name the sum of a column over the rows of the group up to this one.
 
     Without keys the whole table is one group; it is then cut like any other hot group.
     """
-    split = split_hot(df, keys)
+    split = split_hot(df, keys, limit=limit)
     out = None
     if split.cold is not None:
         w = W.partitionBy(*[quoted(k) for k in keys]).orderBy(*[quoted(o) for o in order])
@@ -122,25 +123,25 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums:
     return out
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, limit: int | None = None) -> DataFrame:
     """Add the 1-based place of each row in its group."""
-    return running_sums(df, keys, order, {name: F.lit(1)})
+    return running_sums(df, keys, order, {name: F.lit(1)}, limit)
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str, split: Split | None = None) -> DataFrame:
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str, split: Split | None = None, limit: int | None = None) -> DataFrame:
     """Median per key. Of hot keys it comes from counts per distinct value; no hot group is gathered.
 
     The counts combine before the shuffle, the middle places are found by a running sum, and the totals that
     are broadcast are one row per hot key (at most MAX_HOT_KEYS).
     """
     by = [quoted(k) for k in keys]
-    split = split_hot(df, keys) if split is None else split
+    split = split_hot(df, keys, limit=limit) if split is None else split
     out = None
     if split.cold is not None:
         out = split.cold.groupBy(*by).agg(F.median(quoted(value)).alias(name))
     if split.hot is not None:
         counts = split.hot.groupBy(*by, quoted(value)).agg(F.count(quoted(value)).alias("_n"))
-        places = running_sums(counts, keys, [value], {"_upto": F.col("_n")})
+        places = running_sums(counts, keys, [value], {"_upto": F.col("_n")}, limit)
         totals = F.broadcast(counts.groupBy(*by).agg(F.sum("_n").alias("_total")))
         if keys:
             found = places.join(totals, same_keys(places, totals, keys)).drop(*[totals[f"`{k}`"] for k in keys])

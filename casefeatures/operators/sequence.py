@@ -118,6 +118,7 @@ def group_features(
     peaks: Sequence[str] = (),
     medians: Sequence[tuple[Column, str]] = (),
     counted: DataFrame | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
     """One row per key: plain aggregates, sequence features, places of peaks and medians together.
 
@@ -129,7 +130,7 @@ def group_features(
         raise ValueError("name at least one key")
     if not (sequences or peaks or medians):
         return df.groupBy(*by).agg(*aggs)
-    split = split_hot(df, keys, counted)
+    split = split_hot(df, keys, counted, limit)
     marked = with_marks(split, keys, order, sequences, peaks) if sequences or peaks else df
     reduced = [*aggs, *sequence_aggs(sequences, kinds), *peak_aggs(peaks)]
     if split.hot is None:
@@ -137,15 +138,15 @@ def group_features(
     out = marked.groupBy(*by).agg(*reduced) if reduced else df.select(*by).distinct()
     for c, n in medians:
         values = Split(*[d.select(*by, c.alias("_value")) for d in (split.cold, split.hot)], split.hot_rows, split.limit)
-        part = exact_median(df, keys, "_value", n, values)
+        part = exact_median(df, keys, "_value", n, values, limit)
         out = out.join(part, same_keys(out, part, keys), "left").drop(*[part[f"`{k}`"] for k in keys])
     return out
 
 
-def sequence_features(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], kinds: Sequence[str] = KINDS) -> DataFrame:
+def sequence_features(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], kinds: Sequence[str] = KINDS, limit: int | None = None) -> DataFrame:
     """The sequence features of the columns, one row per key."""
     slim = df.select(*[quoted(c) for c in dict.fromkeys([*keys, *order, *columns])])
-    return group_features(slim, keys, order, sequences=columns, kinds=kinds)
+    return group_features(slim, keys, order, sequences=columns, kinds=kinds, limit=limit)
 
 
 def peak_places(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from casefeatures.functions.schema import quoted
 from casefeatures.operators.hotgroups import running_sums
 
 
-def weighted_auc(df: DataFrame, score: str, target: str, weight: str | None = None, keys: Sequence[str] = ()) -> DataFrame:
+def weighted_auc(df: DataFrame, score: str, target: str, weight: str | None = None, keys: Sequence[str] = (), limit: int | None = None) -> DataFrame:
     """Area per key (or of the whole table). Tied scores share; null if a class has no weight.
 
     Weights are summed per distinct score first. The area is the sum, over scores, of the positive weight times
@@ -27,7 +27,7 @@ def weighted_auc(df: DataFrame, score: str, target: str, weight: str | None = No
             F.sum(F.when(quoted(target) == 0, w).otherwise(0.0)).alias("_neg"),
         )
     )
-    run = running_sums(per_score, keys, ["_score"], {"_neg_upto": F.col("_neg")})
+    run = running_sums(per_score, keys, ["_score"], {"_neg_upto": F.col("_neg")}, limit)
     pairs = F.sum(F.col("_pos") * (F.col("_neg_upto") - F.col("_neg") / 2))
     return run.groupBy(*by).agg(F.try_divide(pairs, F.sum("_pos") * F.sum("_neg")).alias("auc"))
 
