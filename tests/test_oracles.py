@@ -21,3 +21,13 @@ def test_query_matches_sql(spark, small, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["seq_tail_mean", "seq_diff_std", "seq_lines", "agg_argmax_pos", "agg_positive", "agg_median", "rollup_depth1", "table_tax_registry_a_1",
+     "encode_ordinal", "encode_index", "auc", "cv_summary"],
+)
+def test_query_matches_sql_when_most_groups_are_hot(spark, small, rows_per_task, name):
+    rows_per_task(5)
+    assert difference(QUERIES[name](spark, small), ORACLES[name], small) is None
