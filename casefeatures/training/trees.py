@@ -22,7 +22,7 @@ from casefeatures.training.scores import auc, cv_summary, weighted_auc
 # Spark's trees take no nulls: they get a value below any real one, next to a flag.
 FILL = -1e9
 
-# The reference job's sizes, as far as Spark's trees have them. Depth is capped by Spark at 30.
+# Sizes of the job, as far as Spark's trees have them. Depth is capped by Spark at 30.
 TRAIN_PARAMS = {"maxDepth": 16, "maxIter": 3000, "stepSize": 0.016, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.77"}
 SEARCH_PARAMS = {"maxIter": 2500, "stepSize": 0.04}
 SEARCH_RANGES = {"maxDepth": (3, 20), "featureSubsetStrategy": (0.5, 1.0), "subsamplingRate": (0.5, 1.0)}
