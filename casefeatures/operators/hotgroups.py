@@ -89,7 +89,10 @@ def piece_window(keys: Sequence[str]) -> W:
 
 
 def join_pieces(pieces: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Bring the carried columns to the rows, on (keys, piece): the partitioning the next window needs."""
+    """Bring the carried columns to the rows: one row per (key, piece), which is broadcast where it is small.
+
+    Otherwise both sides are shuffled by key and piece, so no task gets more than a piece.
+    """
     on = same_keys(pieces, carried, [*keys, PIECE])
     return pieces.join(carried, on).drop(*[carried[f"`{c}`"] for c in (*keys, PIECE)])
 
