@@ -14,12 +14,14 @@ and aggregations that combine early; a hot list is a skewed join side, which ada
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from casefeatures.llm.frames import clear, numbered
 from casefeatures.llm.graph import components
 from casefeatures.llm.words import SPACES, key, mix, sequence, windows, words
 from casefeatures.sources.files import scratch_path, written
@@ -87,31 +89,50 @@ def _ceil(a: int, b: int) -> int:
     return -(-a // b)
 
 
-def prefix_of(tokens: np.ndarray, often: np.ndarray, n_often: np.ndarray, percent: int = THRESHOLD) -> tuple[int, np.ndarray]:
-    """``k`` and the prefix of a set: the k of the lowest estimated cost."""
+class Prefix(NamedTuple):
+    """The first tokens of a set in the common order, ``k`` of which a partner must share; ``short`` of them do for a larger partner.
+
+    ``end`` and ``short_end`` are the places of the last token of either in the common order.
+    """
+
+    k: int
+    tokens: np.ndarray
+    short: int
+    end: tuple[int, int]
+    short_end: tuple[int, int]
+
+
+def prefix_of(tokens: np.ndarray, often: np.ndarray, n_often: np.ndarray, percent: int = THRESHOLD) -> Prefix:
+    """The prefix of a set with the k of the lowest estimated cost."""
     n = len(tokens)
     least = _ceil(percent * n, 100)  # common tokens that any partner needs
+    larger = _ceil(2 * percent * n, 100 + percent)  # and one that is not smaller
     base = n - least + 1
     if len(often):
         place = np.minimum(np.searchsorted(often, tokens), len(often) - 1)
         lists = np.where(often[place] == tokens, n_often[place], 1)
     else:
         lists = np.ones(n, np.int64)
-    if lists.max() == 1:
-        return 1, tokens[:base]
-    order = np.lexsort((tokens, lists))
-    lists = lists[order]
-    most = min(MOST_MATCHES, least)
-    read = np.cumsum(lists)
-    # A candidate of equal size is met at least k + spare times, once outside the k - 1 longest lists; comparing costs n.
-    spare = _ceil(2 * percent * n, 100 + percent) - least
-    costs = [read[base + k - 2] + n * min(read[base - 1], read[base + k - 2] / (k + spare)) for k in range(1, most + 1)]
-    k = 1 + int(np.argmin(costs))
-    return k, tokens[order[: base + k - 1]]
+    k, order = 1, np.arange(n)
+    if lists.max() > 1:
+        order = np.lexsort((tokens, lists))
+        lists = lists[order]
+        read = np.cumsum(lists)
+        # A candidate of equal size is met at least k + spare times, once outside the k - 1 longest lists; comparing costs n.
+        spare = larger - least
+        most = min(MOST_MATCHES, least)
+        costs = [read[base + k - 2] + n * min(read[base - 1], read[base + k - 2] / (k + spare)) for k in range(1, most + 1)]
+        k = 1 + int(np.argmin(costs))
+    first, short = tokens[order[: base + k - 1]], n - larger + k
+    ends = [(int(lists[i]), int(first[i]) - (1 << 63)) for i in (len(first) - 1, short - 1)]  # unsigned order in signed numbers
+    return Prefix(k, first, short, *ends)
+
+
+_PREFIXES = "doc_id long, n long, ka long, kb long, k int, short int, prefix array<long>, end struct<n: long, token: long>, short_end struct<n: long, token: long>"
 
 
 def _prefixes(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n``, ``ka``, ``kb`` (the set's name), ``k`` and ``prefix`` of every row; prefix is null for empty sets."""
+    """``doc_id``, ``n``, ``ka``, ``kb`` (the set's name), ``k``, ``prefix``, ``short``, ``end`` and ``short_end`` of every row."""
     spark = docs.sparkSession
     often = spark.sparkContext.broadcast(frequent_tokens(docs))
 
@@ -123,22 +144,26 @@ def _prefixes(docs: DataFrame) -> DataFrame:
             def out() -> pa.RecordBatch:
                 at = np.cumsum([0, *(len(p) for p in held)])
                 prefix = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate([*held, np.empty(0, np.uint64)]).view(np.int64)))
-                i, n, a, b, k = zip(*rows, strict=True)
-                ids = batch.column(0).take(pa.array(i))
-                return pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(k, pa.int32()), prefix], ["doc_id", "n", "ka", "kb", "k", "prefix"])
+                i, n, a, b, k, short, *ends = zip(*rows, strict=True)
+                longs = [pa.array(x, pa.int64()) for x in (n, a, b)]
+                ints = [pa.array(x, pa.int32()) for x in (k, short)]
+                places = [pa.array(x, pa.int64()) for x in ends]
+                ends = [pa.StructArray.from_arrays(places[j : j + 2], ["n", "token"]) for j in (0, 2)]
+                names = ["doc_id", "n", "ka", "kb", "k", "short", "prefix", "end", "short_end"]
+                return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(i)), *longs, *ints, prefix, *ends], names)
 
             for i, x in sets_of(batch.column(1)):
-                k, p = prefix_of(x, tokens, counts) if len(x) else (0, x)
-                rows.append((i, len(x), *key(x), k))
-                held.append(p)
-                taken += len(p)
+                p = prefix_of(x, tokens, counts) if len(x) else Prefix(0, x, 0, (0, 0), (0, 0))
+                rows.append((i, len(x), *key(x), p.k, p.short, *p.end, *p.short_end))
+                held.append(p.tokens)
+                taken += len(p.tokens)
                 if taken >= BLOCK // 4:
                     yield out()
                     rows, held, taken = [], [], 0
             if rows:
                 yield out()
 
-    return docs.select("doc_id", "text").mapInArrow(work, "doc_id long, n long, ka long, kb long, k int, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(work, _PREFIXES)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, carry: list[str]) -> DataFrame:
@@ -204,21 +229,29 @@ def _hub_pairs(tokens: DataFrame, percent: int, turn: int) -> DataFrame:
 
 
 def _all_pairs(tokens: DataFrame, percent: int) -> DataFrame:
-    """Every pair of classes of two components that shares as many tokens of its prefixes as a similar pair must.
+    """Every pair of classes of two components that shares a token where a similar pair must.
 
     Of a pair the smaller set (of equal ones that with more tokens of its own) needs the shorter prefix only, since a larger
-    partner must share more of it. What is seen of the prefix that ends first is all there is, hence the count asked for.
+    partner must share more of it. The prefix that ends first is seen whole by the other: its tokens that are in no list of several
+    components are not shared, so of the others all but a few must be, and one of the first few that are must be among these few.
     """
     lists = tokens.groupBy("token").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first < last")
-    right = tokens.join(lists.select("token"), "token", "left_semi").withColumn("role", F.struct("n", (-F.col("alone")).alias("alone"), "cls"))
-    short = F.expr(f"n - (2 * {percent} * n + {99 + percent}) div {100 + percent} + k")
-    left = right.withColumn("short", short).where("pos < short")
-    left = left.select("token", F.col("cls").alias("a"), F.col("root").alias("aroot"), F.col("n").alias("an"), F.col("short").alias("ap"), F.col("role").alias("arole"))
-    met = left.join(right, "token").where((F.col("aroot") != F.col("root")) & (F.col("arole") < F.col("role")) & _long_enough("an", "n", percent))
+    own = Window.partitionBy("cls")
+    right = tokens.drop("alone").join(lists.select("token"), "token", "left_semi")
+    alone = {"alone": F.col("p") - F.count("*").over(own), "ashort": F.col("short") - F.count_if(F.col("pos") < F.col("short")).over(own)}
+    right = right.withColumns({"seen": F.row_number().over(own.orderBy("pos")) - 1, **alone})
+    right = right.withColumn("role", F.struct("n", (-F.col("alone")).alias("alone"), "cls"))
+    left = right.where("pos < short").selectExpr(
+        "token AS atoken", "cls AS a", "root AS aroot", "n AS an", "role AS arole", "pos AS apos", "seen AS aseen", "ashort AS aalone", "short_end AS aend"
+    )
+    right = right.select("token", "cls", "root", "n", "role", "pos", "seen", "alone", "end")
     common = F.expr(f"({percent} * (an + n) + {99 + percent}) div {100 + percent}")
-    asked = common - F.greatest(F.col("an") - F.col("ap"), F.col("n") - F.col("p"))
-    counted = met.groupBy("a", F.col("cls").alias("b")).agg(F.count("*").alias("shared"), F.first(asked).alias("asked"))
-    return counted.where("shared >= asked").select("a", "b")
+    # Before this token the two share at most what each has in lists, after it at most the shorter rest.
+    possible = F.least("aseen", "seen") + F.least(F.col("an") - F.col("apos"), F.col("n") - F.col("pos"))
+    few = F.when(F.col("aend") <= F.col("end"), F.col("aseen") <= F.col("an") - common - F.col("aalone")).otherwise(F.col("seen") <= F.col("n") - common - F.col("alone"))
+    roles = (F.col("aroot") != F.col("root")) & (F.col("arole") < F.col("role"))
+    met = left.join(right, (F.col("atoken") == F.col("token")) & roles & _long_enough("an", "n", percent) & (possible >= common) & few)
+    return met.select("a", F.col("cls").alias("b")).distinct()
 
 
 def jaccard_classes(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
@@ -236,7 +269,7 @@ def jaccard_classes(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     first = classes.select(F.col("cls").alias("row"))
     first = F.broadcast(first) if classes.count() <= BROADCAST_ROWS else first
     tokens = rows.join(first, "row", "left_semi").select(
-        F.posexplode("prefix").alias("pos", "token"), F.col("row").alias("cls"), "n", "k", F.size("prefix").alias("p")
+        F.posexplode("prefix").alias("pos", "token"), F.col("row").alias("cls"), "n", F.size("prefix").alias("p"), "short", "end", "short_end"
     )
     tokens = tokens.withColumn("root", F.col("cls"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("_n")).where("_n > 1").select("token")
@@ -264,3 +297,13 @@ def jaccard_classes(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     out = rows.select("doc_id", "ka", "kb", "n").join(named, ["ka", "kb", "n"], "left")
     own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest doc_id (the first stored, where ids are null or not unique)."""
+    docs, restored = clear(docs, "id")
+    docs = numbered(docs)
+    found = jaccard_classes(docs.select(F.col("id").alias("doc_id"), "text"), percent)
+    gone = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("id")), scratch_path(docs.sparkSession, "gone"))
+    few = gone.count() <= BROADCAST_ROWS
+    return restored(docs.join(F.broadcast(gone) if few else gone, "id", "left_anti"))

@@ -64,6 +64,7 @@ class Words(NamedTuple):
     starts: np.ndarray  # byte offsets in ``data``
     ends: np.ndarray
     data: np.ndarray
+    heads: np.ndarray  # where each row begins in ``data``
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +121,7 @@ def words(column: pa.Array, separators: np.ndarray) -> Iterator[Words]:
         j = max(i + 1, int(np.searchsorted(at, at[i] + PIECE, "right")) - 1)
         part, heads = data[at[i] : at[j]], at[i : j + 1] - at[i]
         h, s, e = _long(part, separators) if len(part) > PIECE else _words(part, heads, separators)
-        yield Words(i, j, np.searchsorted(s, heads), h, s, e, part)
+        yield Words(i, j, np.searchsorted(s, heads), h, s, e, part, heads)
         i = j
 
 
