@@ -444,7 +444,12 @@ oracle(
 FROM (SELECT *, sum(target) OVER (PARTITION BY "WEEK_NUM") AS pos, count(*) OVER (PARTITION BY "WEEK_NUM", target) AS n FROM w)""",
 )
 oracle("split_roles", LABELLED, _weeks, "SELECT lang, n_chars, toxic, case_id FROM w")
-oracle("stratified_group_folds", LABELLED, _weeks, 'SELECT 1::BIGINT AS folds_per_group, count(*) AS rows_dealt, count(DISTINCT "WEEK_NUM") AS groups FROM w')
+oracle("stratified_group_folds", LABELLED, _weeks, "SELECT target, 1::BIGINT AS folds_per_group, CAST(count(*) AS BIGINT) AS rows_dealt, true AS even FROM w GROUP BY target")
+oracle("train_boosted_trees", "SELECT fold, true AS many_trees, true AS as_good_as_best_column FROM (VALUES (0), (1)) AS t(fold)")
+oracle("predict_score", "SELECT count(*) AS n, count(DISTINCT o_orderkey) AS cases, count(*) AS in_range FROM orders")
+oracle("model_store", "SELECT count(*) AS same, count(*) AS n, 5 AS names FROM orders")
+oracle("param_search", "SELECT place, true AS best_of_rest, true AS in_range FROM (VALUES (0), (1)) AS t(place)")
+oracle("feature_importance", "SELECT 5::BIGINT AS features, true AS splits_add_up, true AS gains_add_up")
 _scored = """sc AS (SELECT floor(o_totalprice / 1000) / 1000 AS score, CASE WHEN o_orderkey * 7 % 10 < 3 THEN 1 ELSE 0 END AS target,
     CAST(o_custkey % 5 AS DOUBLE) AS weight, CAST(o_custkey % 4 AS INTEGER) AS fold FROM orders)"""
 

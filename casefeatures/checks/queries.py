@@ -847,10 +847,14 @@ def split_roles(spark, d):
 
 @query
 def stratified_group_folds(spark, d):
-    """Groups in more than one fold, rows in a fold, folds: none may depend on how ties were dealt."""
-    out = weights.stratified_group_folds(_weeks(spark, d))
-    per_week = out.groupBy("WEEK_NUM").agg(F.countDistinct("fold").alias("folds"), F.count("fold").alias("n"))
-    return per_week.agg(F.max("folds").alias("folds_per_group"), F.sum("n").alias("rows_dealt"), F.count(F.lit(1)).alias("groups"))
+    """Per class: no group in two folds, and every fold's share within the largest group's share and a twentieth of an even one."""
+    folds = 5
+    out = weights.stratified_group_folds(_weeks(spark, d), folds=folds)
+    counts = out.groupBy("target", "WEEK_NUM").agg(F.countDistinct("fold").alias("k"), F.min("fold").alias("fold"), F.count("fold").alias("n"))
+    shares = [F.sum(F.when(F.col("fold") == i, F.col("n")).otherwise(0)) / F.sum("n") for i in range(folds)]
+    apart = F.greatest(*[F.abs(s - 1 / folds) for s in shares])
+    even = apart <= F.max("n") / F.sum("n") + 0.05
+    return counts.groupBy("target").agg(F.max("k").alias("folds_per_group"), F.sum("n").alias("rows_dealt"), even.alias("even"))
 
 
 def _scored(spark, d) -> DataFrame:
@@ -878,7 +882,8 @@ def cv_summary(spark, d):
     return out.select(F.size("scores").alias("folds"), fixed4(F.col("mean_score")).alias("mean_score"), fixed4(F.col("max_score")).alias("max_score"))
 
 
-SMALL_TREES = {"maxDepth": 2, "maxIter": 3, "stepSize": 0.3}
+# The job's rate; fewer and flatter trees than the job's, so that all queries on models take minutes.
+TREES = {"maxDepth": 2, "maxIter": 60, "stepSize": trees.TRAIN_PARAMS["stepSize"]}
 
 
 def _model_rows(spark, d) -> tuple[DataFrame, trees.Features]:
@@ -898,19 +903,29 @@ def _model_rows(spark, d) -> tuple[DataFrame, trees.Features]:
 def _models(spark, d):
     data, features = _model_rows(spark, d)
     data = files.checkpointed(data)
-    return data, features, trees.train_boosted_trees(data, features, SMALL_TREES, folds=2)
+    return data, features, trees.train_boosted_trees(data, features, TREES, folds=2)
 
 
 @query
 def train_boosted_trees(spark, d):
+    """Per fold: whether many trees were kept, and whether they rank its cases better than the best single column does."""
     data, features, models = _models(spark, d)
-    return trees.fold_scores(trees.predict_held_out(models, data, features))
+    found = trees.fold_scores(trees.predict_held_out(models, data, features), weight=None)
+    for c in ("n_lines", "disc"):
+        alone = scores.auc(data.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(-1.0))), c, "target", ["fold"])
+        found = found.join(alone.withColumnRenamed("auc", f"_{c}"), "fold")
+    best = F.greatest(*[F.greatest(F.col(f"_{c}"), 1 - F.col(f"_{c}")) for c in ("n_lines", "disc")])
+    counts = trees.tree_counts(models)
+    many = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, n)]), F.col("fold")) >= 50
+    return found.select("fold", many.alias("many_trees"), (F.col("auc") >= best - 0.005).alias("as_good_as_best_column"))
 
 
 @query
 def predict_score(spark, d):
+    """Every case scored once, within 0 and 1."""
     data, features, models = _models(spark, d)
-    return trees.predict_held_out(models, data, features).select("case_id", "fold", "score")
+    scored = trees.predict_held_out(models, data, features)
+    return scored.agg(F.count("*").alias("n"), F.countDistinct("case_id").alias("cases"), F.count_if(F.col("score").between(0, 1)).alias("in_range"))
 
 
 @query
@@ -928,15 +943,24 @@ def model_store(spark, d):
 
 @query
 def param_search(spark, d):
+    """Trials by place: whether no later one is better, and whether the score is one."""
     data, features = _model_rows(spark, d)
-    draws = trees.draw_params(2, {"maxDepth": (1, 3), "subsamplingRate": (0.5, 1.0)}, {"maxIter": 2, "stepSize": 0.3})
-    return trees.param_search(files.checkpointed(data), features, draws, folds=2)
+    draws = trees.draw_params(2, {"maxDepth": (1, 3), "subsamplingRate": (0.5, 1.0)}, {"maxIter": 10, "stepSize": trees.SEARCH_PARAMS["stepSize"]})
+    found = trees.param_search(data, features, draws, folds=2).collect()
+    rows = [(i, all(r["mean_score"] >= x["mean_score"] for x in found[i:]), 0 <= r["mean_score"] <= 1) for i, r in enumerate(found)]
+    return spark.createDataFrame(rows, "place int, best_of_rest boolean, in_range boolean")
 
 
 @query
 def feature_importance(spark, d):
+    """Whether the splits of all folds' trees add up: a tree of n splits has n + 1 leaves; and whether the gains are shares."""
     _, features, models = _models(spark, d)
-    return trees.feature_importance(spark, models[0], features)
+    nodes = sum(t.numNodes for m in models.values() for t in m.stages[-1].trees)
+    total = sum(len(m.stages[-1].trees) for m in models.values())
+    found = trees.feature_importance(spark, models, features)
+    return found.agg(
+        F.count("*").alias("features"), (F.sum("importance_split") == (nodes - total) // 2).alias("splits_add_up"), (F.abs(F.sum("importance_gain") - 1) < 1e-6).alias("gains_add_up")
+    )
 
 
 @query

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import random
-import re
-from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -17,14 +15,19 @@ from pyspark.sql import functions as F
 
 from casefeatures.functions.rows import nan_to_null
 from casefeatures.functions.schema import quoted
+from casefeatures.sources.files import checkpointed, scratch_path
 from casefeatures.training.scores import auc, cv_summary, weighted_auc
 
 # Spark's trees take no nulls: they get a value below any real one, next to a flag.
 FILL = -1e9
 
-# Sizes of the job, as far as Spark's trees have them. Depth is capped by Spark at 30.
-TRAIN_PARAMS = {"maxDepth": 16, "maxIter": 3000, "stepSize": 0.016, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.77"}
+# Sizes of the job, as far as Spark's trees have them. Spark bounds a tree by depth alone, so 62 leaves are depth 6.
+TRAIN_PARAMS = {"maxDepth": 6, "maxIter": 3000, "stepSize": 0.016, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.77"}
 SEARCH_PARAMS = {"maxIter": 2500, "stepSize": 0.04}
+# Trees without a better score on the held-out fold after which training stops, and trees of the first fit.
+PATIENCE, FIRST_FIT = 100, 100
+# Categories of more codes than this are read as ordered numbers: every feature's histograms are as wide as the largest category.
+MAX_CODES = 1024
 SEARCH_RANGES = {"maxDepth": (3, 20), "featureSubsetStrategy": (0.5, 1.0), "subsamplingRate": (0.5, 1.0)}
 
 
@@ -35,6 +38,10 @@ class Features:
     numeric: Sequence[str]
     codes: Mapping[str, int] = field(default_factory=dict)
     flag_nulls: bool = True
+    max_codes: int = MAX_CODES
+
+    def nominal(self, name: str) -> bool:
+        return self.codes[name] < self.max_codes
 
     @property
     def names(self) -> list[str]:
@@ -54,6 +61,9 @@ def model_input(data: DataFrame, features: Features) -> DataFrame:
     """Add ``features``: one vector per row, nulls filled and flagged, categories marked as such."""
     cols = []
     for c, n in features.codes.items():
+        if not features.nominal(c):
+            cols.append(F.coalesce(quoted(c).cast("double"), F.lit(FILL)).alias(f"_x_{c}"))
+            continue
         meta = {"ml_attr": {"type": "nominal", "vals": [str(i) for i in range(n + 1)], "name": c}}
         code = F.when(quoted(c).between(0, n - 1), quoted(c).cast("double")).otherwise(F.lit(float(n)))
         cols.append(code.alias(f"_x_{c}", metadata=meta))
@@ -66,12 +76,29 @@ def model_input(data: DataFrame, features: Features) -> DataFrame:
     return VectorAssembler(inputCols=made, outputCol="features").transform(ready).drop(*made)
 
 
-def classifier(features: Features, params: Mapping, target: str, weight: str | None, held_out: str | None, seed: int) -> GBTClassifier:
+def classifier(features: Features, params: Mapping, target: str, weight: str | None, seed: int) -> GBTClassifier:
     gbt = GBTClassifier(featuresCol="features", labelCol=target, seed=seed, **dict(params))
-    gbt.setMaxBins(max([32, *[n + 1 for n in features.codes.values()]]))
-    if weight:
-        gbt.setWeightCol(weight)
-    return gbt.setValidationIndicatorCol(held_out) if held_out else gbt
+    gbt.setMaxBins(max([32, *[n + 1 for c, n in features.codes.items() if features.nominal(c)]]))
+    return gbt.setWeightCol(weight) if weight else gbt
+
+
+def fit_with_patience(gbt: GBTClassifier, rows: DataFrame, held_out: DataFrame, patience: int = PATIENCE) -> PipelineModel:
+    """Trees are added until ``patience`` of them bring no lower loss on the held-out rows (or ``maxIter``); the best number is kept.
+
+    Fits of growing size, seeded alike, share their first trees, so the losses per number of trees come from the largest one.
+    """
+    most = gbt.getMaxIter()
+    size = min(most, max(FIRST_FIT, 2 * patience))
+    while True:
+        model = gbt.copy({gbt.maxIter: size}).fit(rows)
+        losses = model.evaluateEachIteration(held_out)
+        best = min(range(len(losses)), key=lambda i: losses[i]) + 1 if losses else size
+        if size >= most or size - best >= patience:
+            break
+        size = min(most, 2 * size)
+    if best < size:
+        model = gbt.copy({gbt.maxIter: best}).fit(rows)
+    return PipelineModel([model])
 
 
 def train_boosted_trees(
@@ -83,16 +110,34 @@ def train_boosted_trees(
     target: str = "target",
     weight: str | None = "weights",
     seed: int = 42,
+    patience: int = PATIENCE,
 ) -> dict[int, PipelineModel]:
-    """A model per fold, trained on the other folds. Adding trees stops early on the held-out fold."""
+    """A model per fold, trained on the other folds; trees stop on the held-out fold by ``patience``.
+
+    Rows whose weight is null (a week without positives has no weights) are left out of the fit and of the stopping rule; they are scored
+    like all others. A fold without rows to stop by keeps ``maxIter`` trees.
+    """
     ready = model_input(data, features).withColumn(target, F.col(target).cast("double"))
+    kept = [c for c in (target, weight, fold, "features") if c]
+    ready = ready.where(F.col(weight).isNotNull()) if weight else ready
+    return _fitted(checkpointed(ready.select(*kept)), features, params, fold, folds, target, weight, seed, patience)
+
+
+def _fitted(ready: DataFrame, features: Features, params: Mapping, fold: str, folds: int, target: str, weight: str | None, seed: int, patience: int) -> dict[int, PipelineModel]:
     models = {}
     for k in range(folds):
-        rows = ready.withColumn("_held_out", F.col(fold) == k)
-        models[k] = Pipeline(stages=[classifier(features, params, target, weight, "_held_out", seed)]).fit(rows)
+        held_out = ready.where(F.col(fold) == k)
+        rows = ready.where(F.col(fold) != k)
+        gbt = classifier(features, params, target, weight, seed)
+        models[k] = PipelineModel([gbt.fit(rows)]) if held_out.isEmpty() else fit_with_patience(gbt, rows, held_out, patience)
     return models
 
 
+def tree_counts(models: Mapping[int, PipelineModel]) -> dict[int, int]:
+    """Trees kept per fold."""
+    return {k: m.stages[-1].getNumTrees for k, m in models.items()}
+
+
 def predict_score(model: PipelineModel, data: DataFrame, features: Features, name: str = "score") -> DataFrame:
     """Add the probability of class 1."""
     scored = model.transform(model_input(data, features))
@@ -134,11 +179,16 @@ def param_search(
     target: str = "target",
     weight: str | None = "weights",
     seed: int = 42,
+    patience: int = PATIENCE,
 ) -> DataFrame:
-    """Mean fold score (without weights) of every draw, best first. One row per draw."""
+    """Mean fold score (without weights) of every draw, best first. One row per draw. The input is computed once for all draws."""
+    data = checkpointed(data)
+    ready = model_input(data, features).withColumn(target, F.col(target).cast("double"))
+    ready = ready.where(F.col(weight).isNotNull()) if weight else ready
+    ready = checkpointed(ready.select(*[c for c in (target, weight, fold, "features") if c]))
     rows = []
     for i, params in enumerate(draws):
-        models = train_boosted_trees(data, features, params, fold, folds, target, weight, seed)
+        models = _fitted(ready, features, params, fold, folds, target, weight, seed, patience)
         scored = predict_held_out(models, data, features, fold)
         best = cv_summary(fold_scores(scored, target, None, fold)).first()
         rows.append((i, {k: str(v) for k, v in params.items()}, best["mean_score"]))
@@ -146,13 +196,22 @@ def param_search(
     return found.orderBy(F.col("mean_score").desc_nulls_last(), "trial")
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel, features: Features) -> DataFrame:
-    """Per feature: its gain share, and how many splits in the trees use it. One row per feature."""
-    gbt = model.stages[-1]
-    gains = gbt.featureImportances.toArray()
-    splits = Counter(int(i) for tree in gbt.trees for i in re.findall(r"If \(feature (\d+)", tree.toDebugString))
-    rows = [(n, splits[i], float(gains[i])) for i, n in enumerate(features.names)]
-    return spark.createDataFrame(rows, "feature_name string, importance_split int, importance_gain double")
+def feature_importance(spark: SparkSession, models: PipelineModel | Mapping[int, PipelineModel], features: Features) -> DataFrame:
+    """Per feature: how many splits in the trees of all models use it, and its mean gain share. One row per feature.
+
+    Splits are counted from the node tables of the saved ensembles, on the executors.
+    """
+    models = list(models.values()) if isinstance(models, Mapping) else [models]
+    nodes = None
+    for model in models:
+        path = scratch_path(spark, "ensemble")
+        model.stages[-1].write().save(path)
+        used = spark.read.parquet(f"{path}/data").select(F.col("nodeData.split.featureIndex").alias("place")).where("place >= 0")
+        nodes = used if nodes is None else nodes.unionByName(used)
+    gains = sum(m.stages[-1].featureImportances.toArray() for m in models) / len(models)
+    names = spark.createDataFrame([(i, n, float(gains[i])) for i, n in enumerate(features.names)], "place int, feature_name string, importance_gain double")
+    splits = nodes.groupBy("place").agg(F.count("*").cast("int").alias("n"))
+    return names.join(splits, "place", "left").select("feature_name", F.coalesce("n", F.lit(0)).alias("importance_split"), "importance_gain")
 
 
 def select_weak_features(importance: DataFrame, below: float = 10) -> DataFrame:

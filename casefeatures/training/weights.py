@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casefeatures.operators.hotgroups import row_numbers
+from casefeatures.sources.files import checkpointed
 
 # Columns that are no features.
 ROLE_COLUMNS = ("target", "case_id", "WEEK_NUM", "MONTH", "date_decision", "weights")
 MAX_BROADCAST_GROUPS = 100_000
+# Strata of groups by their share of positives, each a twentieth wide.
+STRATA = 20
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -19,9 +22,14 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= MAX_BROADCAST_GROUPS else df
 
 
+def _counts(data: DataFrame, group: str, target: str) -> DataFrame:
+    """Rows of each class per group, computed once: what reads them again reads the few counted rows."""
+    return checkpointed(data.groupBy(group).agg(F.count_if(F.col(target) == 1).alias("_pos"), F.count_if(F.col(target) == 0).alias("_neg")))
+
+
 def class_weights(data: DataFrame, group: str = "WEEK_NUM", target: str = "target") -> DataFrame:
     """Per group and class: positives of the group / rows of the class. A group without positives gives null."""
-    counts = data.groupBy(group).agg(F.count_if(F.col(target) == 1).alias("_pos"), F.count_if(F.col(target) == 0).alias("_neg"))
+    counts = _counts(data, group, target)
     pos, neg = F.nullif(F.col("_pos"), F.lit(0)).cast("double"), F.nullif(F.col("_neg"), F.lit(0)).cast("double")
     rows = F.array(
         F.struct(F.lit(1).alias(target), (pos / pos).alias("weights")), F.struct(F.lit(0).alias(target), (pos / neg).alias("weights"))
@@ -41,48 +49,23 @@ def split_roles(columns: Sequence[str], roles: Sequence[str] = ROLE_COLUMNS) ->
     return [c for c in columns if c not in roles], [c for c in columns if c in roles]
 
 
-def _greedy(groups: list[tuple], folds: int) -> list[tuple]:
-    """Give each group, the most uneven first, to the fold that stays nearest to even class shares."""
-    total = [sum(g[1] for g in groups) or 1, sum(g[2] for g in groups) or 1]
-    have = [[0, 0] for _ in range(folds)]
-    out = []
-
-    def spread(fold: int, pos: int, neg: int) -> tuple[float, int]:
-        score = 0.0
-        for label, extra in ((0, pos), (1, neg)):
-            shares = [(have[f][label] + (extra if f == fold else 0)) / total[label] for f in range(folds)]
-            mean = sum(shares) / folds
-            score += (sum((s - mean) ** 2 for s in shares) / folds) ** 0.5
-        return round(score, 12), sum(have[fold])
-
-    for key, pos, neg in sorted(groups, key=lambda g: (-abs(g[1] - g[2]), str(g[0]))):
-        fold = min(range(folds), key=lambda f: (*spread(f, pos, neg), f))
-        have[fold][0] += pos
-        have[fold][1] += neg
-        out.append((key, fold))
-    return out
-
-
 def fold_of_groups(data: DataFrame, group: str = "WEEK_NUM", target: str = "target", folds: int = 5) -> DataFrame:
-    """One row per group with its fold.
+    """One row per group with its fold, by one rule for any number of groups, without the driver.
 
-    The groups are few (weeks), so their counts go to the driver, but only if they are at most
-    MAX_BROADCAST_GROUPS. More groups are dealt out to and fro in order of size, without the driver.
+    Groups are put in strata by their share of positives, and dealt to and fro over the folds from the largest to the smallest of
+    each stratum; the dealing goes on from one stratum to the next. Within a stratum both classes follow the size, so the
+    folds' counts of either class differ by no more than a largest group per stratum.
     """
-    counts = data.groupBy(group).agg(F.count_if(F.col(target) == 1).alias("pos"), F.count_if(F.col(target) == 0).alias("neg"))
-    n = counts.count()
-    if n <= MAX_BROADCAST_GROUPS:
-        dealt = _greedy([tuple(r) for r in counts.collect()], folds)
-        schema = f"`{group}` {counts.schema[group].dataType.simpleString()}, fold int"
-        return data.sparkSession.createDataFrame(dealt, schema)
-    sized = counts.select(group, (-(F.col("pos") + F.col("neg"))).alias("_size"))
+    counts = _counts(data, group, target)
+    rows = F.col("_pos") + F.col("_neg")
+    sized = counts.select(group, F.floor(STRATA * F.col("_pos") / F.nullif(rows, F.lit(0))).alias("_stratum"), (-rows).alias("_size"))
     place = (F.col("_n") - 1) % (2 * folds)
-    return row_numbers(sized, [], ["_size", group], "_n").select(
+    return row_numbers(sized, [], ["_stratum", "_size", group], "_n").select(
         group, F.when(place < folds, place).otherwise(2 * folds - 1 - place).cast("int").alias("fold")
     )
 
 
 def stratified_group_folds(data: DataFrame, group: str = "WEEK_NUM", target: str = "target", folds: int = 5) -> DataFrame:
-    """Add ``fold``: a group is never split and the class shares of the folds stay near even."""
-    dealt = fold_of_groups(data, group, target, folds)
+    """Add ``fold``: a group is never split and the class shares of the folds stay near even (see ``fold_of_groups``)."""
+    dealt = checkpointed(fold_of_groups(data, group, target, folds))
     return data.join(_small(dealt, dealt.count()), group, "left")

@@ -26,17 +26,26 @@ def test_class_weights(weeks):
     assert weights.class_weight_by_group(weeks).count() == weeks.count()
 
 
-@pytest.mark.parametrize("driver", [True, False])
-def test_folds(weeks, monkeypatch, driver):
-    if not driver:
-        monkeypatch.setattr(weights, "MAX_BROADCAST_GROUPS", 0)
-    out = weights.stratified_group_folds(weeks, folds=3)
-    assert out.filter(F.col("fold").isNull()).count() == 0 and out.count() == weeks.count()
+def check_folds(out, n, folds, largest):
+    assert out.filter(F.col("fold").isNull()).count() == 0 and out.count() == n
     assert out.groupBy("WEEK_NUM").agg(F.countDistinct("fold").alias("n")).filter("n <> 1").count() == 0
-    folds = {r["fold"]: r for r in out.groupBy("fold").agg(F.sum("target").alias("pos"), F.count(F.lit(1)).alias("n")).collect()}
-    assert set(folds) == {0, 1, 2}
-    if driver:
-        assert all(4 <= r["pos"] <= 11 for r in folds.values())
+    got = {r["fold"]: r for r in out.groupBy("fold").agg(F.sum("target").alias("pos"), F.sum(1 - F.col("target")).alias("neg")).collect()}
+    assert set(got) == set(range(folds))
+    for kind in ("pos", "neg"):
+        counts = [r[kind] for r in got.values()]
+        assert max(counts) - min(counts) <= largest[kind], (kind, counts)
+
+
+def test_folds(weeks):
+    check_folds(weights.stratified_group_folds(weeks, folds=3), weeks.count(), 3, {"pos": 8, "neg": 38})
+
+
+@pytest.mark.parametrize("groups", [40, 2000, 200_000])
+def test_folds_of_many_groups(spark, groups):
+    """All positives in a tenth of the groups: the shares stay even by the same rule at every size."""
+    df = spark.range(groups * 4).select((F.col("id") % groups).alias("WEEK_NUM"), (F.col("id") % groups % 10 == 0).cast("int").alias("target"))
+    pos = groups // 10 * 4
+    check_folds(weights.stratified_group_folds(df, folds=5), groups * 4, 5, {"pos": 8 if groups > 40 else pos, "neg": 8})
 
 
 def area(rows):
@@ -95,7 +104,7 @@ def test_models(spark, tmp_path):
     scored = trees.predict_held_out(models, data, features)
     assert scored.count() == 600 and scored.filter("score < 0 or score > 1 or score is null").count() == 0
     assert all(r["auc"] > 0.9 for r in trees.fold_scores(scored).collect())
-    importance = trees.feature_importance(spark, models[0], features)
+    importance = trees.feature_importance(spark, models, features)
     splits = {r["feature_name"]: r["importance_split"] for r in importance.collect()}
     assert splits["x.1"] > 0 and set(splits) == {"c_encoded", "x.1", "gap", "x.1_null", "gap_null"}
     weak = {r[0] for r in trees.select_weak_features(importance, 1).collect()}
@@ -112,3 +121,38 @@ def test_category_code_out_of_range_is_its_own_code(spark):
     df = spark.createDataFrame([(0,), (5,), (None,)], "c int")
     out = trees.model_input(df, trees.Features([], {"c": 3}))
     assert [float(r["features"][0]) for r in out.collect()] == [0.0, 3.0, 3.0]
+
+
+def test_boosting_keeps_many_trees_and_trains_without_weights(spark):
+    """At the job's rate one tree is not enough; a week without positives, whose weights are null, does not stop training."""
+    df = spark.range(1200).select(
+        F.col("id").alias("case_id"), (F.col("id") % 6).alias("WEEK_NUM"), (F.pmod(F.xxhash64("id"), F.lit(1000)) / 10).alias("x"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 10).alias("y")
+    )
+    df = df.withColumn("target", ((F.col("x") + F.col("y") > 100) & (F.col("WEEK_NUM") != 3)).cast("int"))
+    data = weights.stratified_group_folds(weights.class_weight_by_group(df), folds=2).cache()
+    assert data.filter("weights IS NULL").count() == 200
+    features = trees.Features(["x", "y"], flag_nulls=False)
+    params = {"maxDepth": 2, "maxIter": 40, "stepSize": trees.TRAIN_PARAMS["stepSize"]}
+    models = trees.train_boosted_trees(data, features, params, folds=2)
+    assert all(n > 20 for n in trees.tree_counts(models).values())
+    one = trees.train_boosted_trees(data, features, {**params, "maxIter": 1}, folds=2)
+    many, few = ({r["fold"]: r["auc"] for r in trees.fold_scores(trees.predict_held_out(m, data, features), weight=None).collect()} for m in (models, one))
+    assert all(many[k] > few[k] for k in many)
+    scored = trees.predict_held_out(models, data, features)
+    assert scored.count() == 1200
+
+
+def test_patience_stops(spark, monkeypatch):
+    """A column of noise: the held-out loss soon rises, and training stops long before the most trees."""
+    monkeypatch.setattr(trees, "FIRST_FIT", 10)
+    df = spark.range(400).select((F.pmod(F.xxhash64("id"), F.lit(997)) / 10).alias("x"), (F.pmod(F.xxhash64("id", F.lit(5)), F.lit(2))).cast("double").alias("target"), (F.col("id") % 2).alias("fold"))
+    features = trees.Features(["x"], flag_nulls=False)
+    models = trees.train_boosted_trees(df, features, {"maxDepth": 4, "maxIter": 400, "stepSize": 0.3}, folds=2, weight=None, patience=3)
+    assert all(n < 50 for n in trees.tree_counts(models).values())
+
+
+def test_large_categories_are_numbers(spark):
+    df = spark.createDataFrame([(0,), (5,), (None,)], "c int")
+    features = trees.Features([], {"c": 6}, max_codes=3)
+    assert [float(r["features"][0]) for r in trees.model_input(df, features).collect()] == [0.0, 5.0, trees.FILL]
+    assert trees.classifier(features, {}, "t", None, 1).getMaxBins() == 32
