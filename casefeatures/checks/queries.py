@@ -194,7 +194,7 @@ def rename_columns(spark, d):
 @query
 def project_join_side(spark, d):
     side = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
-    return table(spark, d, "orders").select("o_orderkey", "o_custkey").join(side, "o_custkey", "left")
+    return J.join_one(table(spark, d, "orders").select("o_orderkey", "o_custkey"), side, "o_custkey", "left")
 
 
 @query

@@ -1,7 +1,8 @@
 """Aggregates over the rows of a group, as columns for ``groupBy(...).agg(...)``.
 
-All of them combine before the shuffle, except ``mode_of``, whose state is one count per distinct value
-(for encoded categories: at most the size of the lookup). Order is always given by a column ``o``.
+All of them combine before the shuffle to a small state, except two: ``mode_of`` keeps one count per distinct value (for encoded
+categories: at most the size of the lookup), and the statistic "median" every distinct value of its group; where a group may be
+hot, use ``hotgroups.exact_median``. Order is always given by a column ``o``.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ before or after it is carried over from one summary row per piece. No row is dro
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -64,7 +65,10 @@ def split_hot(df: DataFrame, keys: Sequence[str], counted: DataFrame | None = No
         F.max("_rows").alias("largest"),
         F.sum(F.when(F.col("_rows") > limit, F.col("_rows"))).alias("hot_rows"),
     ).first()
-    limit = max(limit, (row["rows"] or 0) // MAX_HOT_KEYS)
+    least = (row["rows"] or 0) // MAX_HOT_KEYS
+    if least > limit:
+        warnings.warn(f"{limit} rows per task would leave more than {MAX_HOT_KEYS} hot keys to broadcast; {least} are taken", stacklevel=2)
+        limit = least
     if (row["largest"] or 0) <= limit:
         return Split(df, limit=limit)
     hot_keys = F.broadcast(sizes.filter(F.col("_rows") > limit).drop("_rows"))
@@ -152,7 +156,10 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str, spli
             found = places.crossJoin(totals)  # one row of totals
         low = F.min(F.when(F.col("_upto") >= F.floor((F.col("_total") + 1) / 2), quoted(value)))
         high = F.min(F.when(F.col("_upto") >= F.floor(F.col("_total") / 2) + 1, quoted(value)))
-        hot = found.groupBy(*by).agg(((low + high) / 2).alias(name))
+        # The formula of Spark's own median, so that a group's size does not show in the last digit.
+        hot = found.groupBy(*by).agg(low.alias("_low"), high.alias("_high"))
+        middle = F.when(F.col("_low") == F.col("_high"), F.col("_low").cast("double")).otherwise(0.5 * F.col("_low") + 0.5 * F.col("_high"))
+        hot = hot.select(*by, middle.alias(name))
         out = hot if out is None else out.unionByName(hot)
     return out
 

@@ -14,17 +14,17 @@ CASE = "case_id"
 CHILD_KEYS = ("case_id", "num_group1")
 
 
-def join_one(rows: DataFrame, side: DataFrame, key: str = CASE) -> DataFrame:
-    """Inner join of many rows per key with a table of one row per key.
+def join_one(rows: DataFrame, side: DataFrame, key: str = CASE, how: str = "inner") -> DataFrame:
+    """Join of many rows per key with a table of one row per key, "inner" or "left".
 
     Rows of hot keys meet the few side rows of those keys by broadcast (at most MAX_HOT_KEYS rows), so that
     no task gets all rows of a key; the others are joined as usual.
     """
     split = split_hot(rows, [key])
     if split.hot is None:
-        return rows.join(side, key)
+        return rows.join(side, key, how)
     few = side.join(split.hot_keys, same_keys(side, split.hot_keys, [key]), "left_semi")
-    return split.cold.join(side, key).unionByName(split.hot.join(F.broadcast(few), key))
+    return split.cold.join(side, key, how).unionByName(split.hot.join(F.broadcast(few), key, how))
 
 
 def join_child_level(depth1: DataFrame, rolled: DataFrame, keys: Sequence[str] = CHILD_KEYS) -> DataFrame:
@@ -32,11 +32,12 @@ def join_child_level(depth1: DataFrame, rolled: DataFrame, keys: Sequence[str] =
     return depth1.join(rolled, list(keys), "left")
 
 
-def join_base(base: DataFrame, rolled: DataFrame, how: str, key: str = CASE) -> DataFrame:
-    """Join a roll-up to the base: "inner" for training data, "left" for test data."""
+def join_base(base: DataFrame, rolled: DataFrame, how: str, key: str = CASE, suffix: str = "_right") -> DataFrame:
+    """Join a roll-up to the base: "inner" for training data, "left" for test data. A name that is taken gets a suffix."""
     if how not in ("inner", "left"):
         raise ValueError(f"how is {how!r}")
-    return base.join(rolled, key, how)
+    taken = set(base.columns)
+    return base.join(rolled.withColumnsRenamed({c: c + suffix for c in rolled.columns if c != key and c in taken}), key, how)
 
 
 def join_target(features: DataFrame, base: DataFrame, key: str = CASE, columns: Sequence[str] = ("WEEK_NUM", "target"), suffix: str = "_right") -> DataFrame:

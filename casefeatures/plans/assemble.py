@@ -72,8 +72,9 @@ def stored_under(path: str) -> Callable[[str, DataFrame], DataFrame]:
 
 
 def bucketed_as(prefix: str, buckets: int) -> Callable[[str, DataFrame], DataFrame]:
-    """Store each roll-up bucketed by the case: joining them all then shuffles the base only."""
-    return lambda name, df: bucketed(df, f"{prefix}{name}", "case_id", buckets)
+    """Store each roll-up bucketed by the case: joining them all then shuffles the base only. A second run replaces the first one's
+    tables of the same prefix."""
+    return lambda name, df: bucketed(df, f"{prefix}{name}", "case_id", buckets, "overwrite")
 
 
 def join_all(base: DataFrame, rolled: Mapping[str, DataFrame], kind: str) -> DataFrame:
@@ -109,7 +110,7 @@ def assemble_features(
     """One wide row per case.
 
     ``keep`` stores each roll-up and the wide table, so that no plan spans the whole job; ``narrow`` then takes a
-    pass over the stored table to find the ranges.
+    pass over the stored table to find the ranges. Without ``keep`` it pins the wide table first, so the job runs once.
     """
     lookup = fit_lookups(tables) if lookup is None else lookup
     wide = join_all(tables["base"], roll_up_all(tables, lookup, keep), kind)
@@ -120,7 +121,10 @@ def assemble_features(
     wide = date_features(wide, dates)
     wide = R.all_nan_to_null(wide)
     wide = prune_features(wide, weak, (*K.PLACE_COLUMNS, *K.ONE_VALUE_COLUMNS))
-    wide = keep("wide", wide) if keep else wide
+    if keep:
+        wide = keep("wide", wide)
+    elif narrow:
+        wide = checkpointed(wide)
     return narrow_types(wide) if narrow else wide
 
 

@@ -41,6 +41,12 @@ GIVEN = {
     },
 }
 
+# The label each band of risk has in the names of its columns.
+RISK_BANDS = {
+    "6% - 8%": "0", "8% - 11%": "1", "11% - 15%": "2", "67% - 100%": "3", "2% - 3%": "4", "50% - 58%": "5", "20% - 25%": "6", "59% - 66%": "7",
+    "33% - 41%": "8", "3% - 4%": "9", "1% - 1%": "10", "2% - 2%": "11", "4% - 6%": "12", "41% - 49%": "13", "15% - 19%": "14", "26% - 33%": "15",
+}
+
 # Columns whose categories are numbered from the data, unknown ones being 0.
 INDEXED = {"person_1": ("registaddr_district_1083M",)}
 
@@ -629,7 +635,7 @@ STATIC_CB_0 = TableSpec(
     depth=0,
     latest=_CB_DATES,
     flags={f"description_5085714M_{v}": ("description_5085714M", v) for v in ("2fc785b2", R.MISSING)},
-    one_hot={"riskassesment_302T": {band: str(i) for i, band in enumerate(GIVEN["riskassesment_302T"])}},
+    one_hot={"riskassesment_302T": RISK_BANDS},
     one_hot_fill=NO_CATEGORY,
     lenient_endings=("A", "P", "L", "riskassesment_940T"),
     categories=(

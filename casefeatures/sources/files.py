@@ -58,14 +58,22 @@ def sink_parquet(df: DataFrame, path: str, mode: str = "error") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def sink_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+def shared_warehouse(spark: SparkSession) -> str:
+    """The warehouse folder; on a cluster it must have been set, for the default is a folder of the driver's machine."""
+    if not spark.sparkContext.master.startswith("local") and "spark.sql.warehouse.dir" not in dict(spark.sparkContext.getConf().getAll()):
+        raise ValueError("set spark.sql.warehouse.dir to a folder all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir")
+
+
+def sink_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "error") -> None:
     """Store a roll-up bucketed and sorted by the case key, so that later joins on it need no shuffle."""
-    df.write.bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
+    shared_warehouse(df.sparkSession)
+    df.write.mode(mode).bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
 
 
-def bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+def bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "error") -> DataFrame:
     """Store a table bucketed by the key and read it back."""
-    sink_bucketed(df, table, key, buckets)
+    sink_bucketed(df, table, key, buckets, mode)
     return df.sparkSession.table(table)
 
 
@@ -89,6 +97,16 @@ def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
     if isinstance(a, T.NullType):
         return b
     order = INTEGER_TYPES + FLOAT_TYPES
+    numbers = (*order, T.DecimalType)
+    if isinstance(a, T.BooleanType) and isinstance(b, numbers):
+        return b
+    if isinstance(b, T.BooleanType) and isinstance(a, numbers):
+        return a
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        whole, scale = max(a.precision - a.scale, b.precision - b.scale), max(a.scale, b.scale)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.DoubleType()
+    if isinstance(a, T.DecimalType) and isinstance(b, numbers) or isinstance(b, T.DecimalType) and isinstance(a, numbers):
+        return T.DoubleType()
     if isinstance(a, order) and isinstance(b, order):
         wide = max(a, b, key=lambda t: order.index(type(t)))
         mixed = isinstance(a, INTEGER_TYPES) != isinstance(b, INTEGER_TYPES)

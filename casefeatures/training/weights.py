@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casefeatures.operators.hotgroups import row_numbers
+from casefeatures.operators.joins import join_one
 from casefeatures.sources.files import checkpointed
 
 # Columns that are no features.
@@ -68,4 +69,5 @@ def fold_of_groups(data: DataFrame, group: str = "WEEK_NUM", target: str = "targ
 def stratified_group_folds(data: DataFrame, group: str = "WEEK_NUM", target: str = "target", folds: int = 5) -> DataFrame:
     """Add ``fold``: a group is never split and the class shares of the folds stay near even (see ``fold_of_groups``)."""
     dealt = checkpointed(fold_of_groups(data, group, target, folds))
-    return data.join(_small(dealt, dealt.count()), group, "left")
+    n = dealt.count()
+    return data.join(F.broadcast(dealt), group, "left") if n <= MAX_BROADCAST_GROUPS else join_one(data, dealt, group, "left")

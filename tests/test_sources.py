@@ -61,3 +61,11 @@ def test_bucketed_tables_join_without_shuffle(spark):
     for name in ("left_t", "right_t"):
         spark.sql(f"drop table {name}")
     assert os.path.isdir(files.shared_folder(spark))
+
+
+def test_numbers_of_unequal_type_stay_numbers():
+    d, wide = T.DecimalType(10, 2), T.DecimalType(12, 4)
+    assert files.common_type(d, T.DoubleType()) == T.DoubleType() and files.common_type(T.LongType(), d) == T.DoubleType()
+    assert files.common_type(d, wide) == wide and files.common_type(T.DecimalType(38, 0), T.DecimalType(38, 20)) == T.DoubleType()
+    assert files.common_type(T.BooleanType(), T.IntegerType()) == T.IntegerType() and files.common_type(d, T.BooleanType()) == d
+    assert files.common_type(T.BooleanType(), T.StringType()) == T.StringType()
