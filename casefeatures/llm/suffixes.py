@@ -26,8 +26,8 @@ from casefeatures.sources.files import scratch_path, written
 
 #: Words of a passage that counts as repeated, and words that sorted suffixes are compared by.
 LEAST, HEAD = 50, 30
-#: Positions that are broadcast at most; more are joined by a shuffle.
-BROADCAST_POSITIONS = 4_000_000
+#: Stretches to cut out that are broadcast at most; more are joined by a shuffle.
+BROADCAST_CUTS = 1_000_000
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -83,8 +83,7 @@ def _suffixes(docs: DataFrame, least: int, head: int) -> DataFrame:
 
 def _passages(docs: DataFrame, places: DataFrame, least: int, head: int) -> DataFrame:
     """``h`` (hash of the passage), ``id``, ``pos``, ``again`` (it stands earlier in the same text) of every passage whose suffix is shared."""
-    total = places.agg(F.sum(F.size("at"))).first()[0] or 0
-    joined = docs.select("id", "text").join(F.broadcast(places) if total <= BROADCAST_POSITIONS else places, "id")
+    joined = docs.select("id", "text").join(places, "id")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,7 +154,7 @@ def without_repeats(docs: DataFrame, least: int = LEAST, head: int = HEAD) -> Da
     cuts = _stretches(docs, least, head).where(~F.col("original")).groupBy("id").agg(F.collect_list(F.struct("first_word", "n_words")).alias("cuts"))
     cuts = written(cuts, scratch_path(docs.sparkSession, "cuts"))
     total = cuts.agg(F.sum(F.size("cuts"))).first()[0] or 0
-    joined = docs.join(F.broadcast(cuts) if total <= BROADCAST_POSITIONS // 4 else cuts, "id", "left")
+    joined = docs.join(F.broadcast(cuts) if total <= BROADCAST_CUTS else cuts, "id", "left")
     at = joined.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -59,14 +59,9 @@ def test_long_text_beyond_a_piece(spark, monkeypatch):
     assert sorted(tuple(r) for r in out.collect()) == brute(rows, 50)
 
 
-def test_shuffled_positions_agree(spark, monkeypatch):
-    monkeypatch.setattr(suffixes, "BROADCAST_POSITIONS", -1)
-    rows = corpus(7)
-    out = suffixes.repeated_passages(frame(spark, rows))
-    assert sorted(tuple(r) for r in out.collect()) == brute(rows, 50)
-
-
-def test_cut(spark):
+@pytest.mark.parametrize("limit", [suffixes.BROADCAST_CUTS, -1])
+def test_cut(spark, monkeypatch, limit):
+    monkeypatch.setattr(suffixes, "BROADCAST_CUTS", limit)
     rows = corpus()
     df = frame(spark, rows).withColumns({"id": F.lit(3), "cuts": F.lit("c")})
     out = suffixes.without_repeats(df)
