@@ -25,7 +25,7 @@ from casefeatures.sources.files import scratch_path, written
 
 K, SCALE = 5, 256
 #: Vectors of a block, about; pivots, at most; vectors of a leaf; children of a node; queries sent out at a time.
-BLOCK, MAX_PIVOTS, LEAF, FAN, LOT = 8192, 256, 64, 16, 8192
+BLOCK, MAX_PIVOTS, LEAF, FAN, LOT = 8192, 256, 256, 16, 8192
 PAGES = "block long, node int, parent int, leaf boolean, centre array<long>, radius double, to_parent double, norm double, members array<long>, rows array<long>, vectors array<long>, to_centre array<double>"
 
 
@@ -97,6 +97,10 @@ class Tree:
             (np.array(m, np.int64), np.array(r, np.int64), np.array(v, np.int64).reshape(len(m), dim), np.array(t, float)) if leaf else None
             for m, r, v, t, leaf in zip(pages["members"], pages["rows"], pages["vectors"], pages["to_centre"], self.leaf, strict=True)
         ]
+        # Products below 2^53 are exact in floating point.
+        self.plain = float(self.norm.max()) ** 2 < 2**52
+        if self.plain:
+            self.entries = [None if e is None else (e[0], e[1], e[2].astype(float), e[3]) for e in self.entries]
         self.squares = [None if e is None else (e[2].astype(float) ** 2).sum(1) for e in self.entries]
 
     def search(self, q: np.ndarray, own: int, k: int, floor: int | None) -> list[tuple[int, int, int]]:
@@ -117,10 +121,12 @@ class Tree:
                 may = (square + self.squares[node] - (away - to_centre) ** 2) / 2 + slack >= least
                 if not may.any():
                     continue
-                scores = vectors[may] @ q
-                for s, i, r in zip(scores.tolist(), ids[may].tolist(), rows[may].tolist(), strict=True):
+                scores = vectors[may] @ (plain if self.plain and square < 2**52 else q)
+                good = scores >= least
+                for s, i, r in zip(scores[good].tolist(), ids[may][good].tolist(), rows[may][good].tolist(), strict=True):
                     if r == own or s < least:
                         continue
+                    s = int(s)
                     if len(best) < k:
                         heapq.heappush(best, (s, -i, -r))
                     elif (s, -i, -r) > best[0]:
