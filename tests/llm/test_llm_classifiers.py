@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import DOCS, corpus, frame
+from helpers import DOCS, corpus, frame, prose
 from pyspark.sql import functions as F
 
 from casefeatures.llm import language, license, toxicity
@@ -107,3 +107,22 @@ def test_licences_of_nothing(spark):
 def test_licences_run_without_python(spark):
     plan = license.scan(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+
+
+def test_licences_wrapped_and_in_prose(spark):
+    rng = random.Random(3)
+    before, after = prose(rng, 3000), prose(rng, 700)
+    rows = corpus()[:20] + [
+        (200, "Copyright some one\n\n" + BSD + "\n\n1. more", None, None, 0), (201, f"{before} this work is licensed under the MIT license and {after}", None, None, 0),
+        (202, f"{before} licensed under CC BY-SA 4.0 {after} released under the MIT License, {after}", None, None, 0), (203, f"{before} under {after} the mit {after} license", None, None, 0),
+        (204, "# " + BSD.replace("\n", "\r\n# "), None, None, 0), (205, "licensed under the Apache License, Version 2.0. " * 300, None, None, 0),
+    ]
+    by = {r["doc_id"]: r for r in license.scan(frame(spark, rows)).collect()}
+    assert {i: by[i]["families"] for i in range(200, 206)} == {200: ["bsd"], 201: ["mit"], 202: ["cc-by-sa", "mit"], 203: [], 204: ["bsd"], 205: ["apache"]}
+    assert {i: by[i]["n_statements"] for i in range(200, 206)} == {200: 1, 201: 1, 202: 2, 203: 0, 204: 1, 205: 300}
+    assert by[200]["n_paragraphs"] == 3 and by[204]["n_paragraphs"] == 1
