@@ -3,8 +3,8 @@
 Paragraphs end at blank lines, so wrapped lines are one. Within a paragraph every passage is looked at that holds enough of a template's
 words within about its length, wherever it stands: prose before and after it has no say. Passages become sparse vectors of hashed word
 1- and 2-grams, and a multinomial logistic regression gives each licence family and the class ``unknown`` a probability. It is trained on
-the licence wordings below, against passages of the corpus that share no phrase with any. How sure it must be is calibrated on passages
-it was not trained on. A prediction counts once a template of its family confirms it; of passages that overlap the surest counts.
+the licence wordings below, against passages of the corpus that share no phrase with any. How sure it must be of a
+family is calibrated on passages and statements it was not trained on. A prediction counts once a template of its family confirms it; of passages that overlap the surest counts.
 """
 
 from __future__ import annotations
@@ -39,8 +39,10 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
 OPENINGS = ("", "this work is ", "this software is ", "the text is ", "content ", "this file is ", "unless stated otherwise, ")
 ENDINGS = ("", ".", " see the file license for details.")
 UNKNOWN = "unknown"
-#: Paragraphs of the corpus learned from, about; buckets of the hashed n-grams; wrongly known paragraphs allowed in calibration.
-SAMPLE, BUCKETS, WRONG = 4000, 1 << 14, 0.0
+#: Paragraphs of the corpus learned from, about; buckets of the hashed n-grams.
+SAMPLE, BUCKETS = 4000, 1 << 14
+#: In calibration, share of unknown passages that a family may take wrongly, and of its statements that may be missed, which goes first.
+WRONG, MISSED = 0.001, 0.01
 #: Share of a template's words that a passage must hold, and words it may be longer than the template.
 CONFIRM, SLACK = 0.8, 4
 #: Words of the corpus in a passage learned from, at least and at most.
@@ -68,9 +70,20 @@ def paragraphs(docs: DataFrame, *keys: str) -> DataFrame:
 
 
 def _statements(spark: SparkSession) -> DataFrame:
-    """``family``, ``words`` of every wording with every opening and ending."""
-    rows = [(f, o + t + e) for f, texts in TEMPLATES.items() for t in texts for o in OPENINGS for e in ENDINGS]
-    return spark.createDataFrame(rows, "family string, text string").select("family", words_of(F.col("text")).alias("words"))
+    """``family``, ``words`` of every wording with every opening and ending, and whether it is ``held`` out, as a third of them are."""
+    around = [(o, e) for o in OPENINGS for e in ENDINGS]
+    rows = [(f, o + t + e, i % 3 == 2) for f, texts in TEMPLATES.items() for j, t in enumerate(texts) for i, (o, e) in enumerate(around, j)]
+    return spark.createDataFrame(rows, "family string, text string, held boolean").select("family", words_of(F.col("text")).alias("words"), "held")
+
+
+def thresholds(held: DataFrame) -> list[float]:
+    """From ``label`` and ``p`` (of every class) of held-out rows, the probability from which each family counts: the lowest that lets at most
+    a share of WRONG of the unknown pass, but none that misses more than a share of MISSED of its own statements; 0.5 at least."""
+    each = held.select("label", F.posexplode("p").alias("place", "p")).where(f"place < {len(TEMPLATES)}")
+    unknown, own = (f"percentile_disc({share}) WITHIN GROUP (ORDER BY p) FILTER (WHERE label = {label})" for share, label in ((1 - WRONG, len(TEMPLATES)), (MISSED, "place")))
+    found = {r["place"]: (r["u"], r["s"]) for r in each.groupBy("place").agg(F.expr(unknown).alias("u"), F.expr(own).alias("s")).collect()}
+    known = [found.get(i, (None, None)) for i in range(len(TEMPLATES))]
+    return [max(0.5, min(u or 0.0, 1.0 if s is None else s - 1e-9)) for u, s in known]
 
 
 def _templates() -> Column:
@@ -132,11 +145,11 @@ def candidates(docs: DataFrame, *keys: str) -> DataFrame:
     return rows.select(*keys, "own", (start(F.col("own")) + F.col("at.first") - 1).alias("first"), F.slice(words, F.col("at.first"), F.col("at.n")).alias("words"))
 
 
-def trained(docs: DataFrame, sample: int = SAMPLE) -> tuple[PipelineModel, list[str], float]:
-    """The model, its classes in order, and the probability from which a family counts.
+def trained(docs: DataFrame, sample: int = SAMPLE) -> tuple[PipelineModel, list[str], list[float]]:
+    """The model, its classes in order, and the probability from which each family counts.
 
     Of the corpus about ``sample`` passages, drawn by hash, stand for ``unknown``, without those that hold a template's words; half
-    of them are learned from, and the probability is the lowest at which none of the other half is taken for a licence (0.5 at least).
+    of them are learned from, the others and the statements held out give the thresholds.
     """
     spark = docs.sparkSession
     n = docs.count()
@@ -149,16 +162,15 @@ def trained(docs: DataFrame, sample: int = SAMPLE) -> tuple[PipelineModel, list[
     n, at = (F.pmod(F.xxhash64("words", F.lit(salt)), x).cast("int") for salt, x in ((2, F.lit(LONGEST - SHORTEST + 1)), (3, F.size("words"))))
     drawn = drawn.withColumn("words", F.slice("words", at + 1, n + SHORTEST)).where(~_held(F.col("words"), 0.6))
     drawn = written(drawn.select(F.lit(UNKNOWN).alias("family"), "words", (F.pmod(F.xxhash64("words", F.lit(1)), F.lit(2)) == 0).alias("held")), scratch_path(spark, "unknown"))
-    rows = _statements(spark).withColumn("held", F.lit(False)).unionByName(drawn)
+    rows = _statements(spark).unionByName(drawn)
     classes = [*TEMPLATES, UNKNOWN]
     place = F.element_at(F.create_map(*[F.lit(x) for i, c in enumerate(classes) for x in (c, float(i))]), F.col("family"))
     rows = rows.withColumn("label", place).withColumn("grams", grams_of(F.col("words")))
     hashing = HashingTF(inputCol="grams", outputCol="features", numFeatures=BUCKETS, binary=True)
     fit = LogisticRegression(family="multinomial", regParam=1e-3, maxIter=60, probabilityCol="probability")
     model = PipelineModel([hashing, fit.fit(hashing.transform(rows.where(~F.col("held"))))])
-    held = model.transform(rows.where(F.col("held"))).where(F.col("prediction") != len(TEMPLATES))
-    worst = held.agg(F.max(F.array_max(vector_to_array("probability")))).first()[0]
-    return model, classes, max(0.5, worst or 0.0)
+    held = model.transform(rows.where(F.col("held"))).select("label", vector_to_array("probability").alias("p"))
+    return model, classes, thresholds(held)
 
 
 def scan(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -171,7 +183,8 @@ def scan(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     rows = candidates(docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "row", "doc_id")
     grams = F.coalesce(grams_of(F.col("words")), F.array().cast("array<string>"))
     found = model.transform(rows.withColumn("grams", grams)).withColumn("p", F.array_max(vector_to_array("probability")))
-    family = F.element_at(F.array(*[F.lit(c) for c in classes]), F.col("prediction").cast("int") + 1)
+    place = F.col("prediction").cast("int")
+    family, least = F.get(F.array(*[F.lit(c) for c in classes]), place), F.get(F.array(*[F.lit(x) for x in least]), place)
     found = found.withColumn("family", family)
     sure = F.col("words").isNotNull() & (F.col("prediction") != len(TEMPLATES)) & (F.col("p") > least) & confirmed(F.col("words"), F.col("family"))
     passage = F.when(sure, F.struct("p", F.size("words").alias("n"), "first", "family"))

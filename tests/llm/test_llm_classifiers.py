@@ -126,3 +126,17 @@ def test_licences_wrapped_and_in_prose(spark):
     assert {i: by[i]["families"] for i in range(200, 206)} == {200: ["bsd"], 201: ["mit"], 202: ["cc-by-sa", "mit"], 203: [], 204: ["bsd"], 205: ["apache"]}
     assert {i: by[i]["n_statements"] for i in range(200, 206)} == {200: 1, 201: 1, 202: 2, 203: 0, 204: 1, 205: 300}
     assert by[200]["n_paragraphs"] == 3 and by[204]["n_paragraphs"] == 1
+
+
+def test_licence_thresholds(spark):
+    """One unknown passage that looks like a family lifts no threshold: neither that of others nor its own above what statements have."""
+    n = len(license.TEMPLATES)
+
+    def row(label, place, p):
+        return float(label), [p if i == place else (1 - p) / n for i in range(n + 1)]
+
+    rows = [row(n, n, 0.99) for _ in range(1999)] + [row(n, 1, 0.999)] + [row(n, 2, 0.999 - i / 10**6) for i in range(50)] + [row(n, 3, 0.7) for _ in range(50)]
+    rows += [row(i, i, 0.98) for i in range(n) for _ in range(20)]
+    found = license.thresholds(spark.createDataFrame(rows, "label double, p array<double>"))
+    assert found[0] == found[1] == 0.5 and found[2] == pytest.approx(0.98) and found[2] < 0.98 and found[3] == pytest.approx(0.7)
+    assert license.thresholds(spark.createDataFrame(rows[:0], "label double, p array<double>")) == [0.5] * n
