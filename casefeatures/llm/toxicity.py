@@ -3,7 +3,9 @@
 Words are turned into classes by a lexical transducer (insult and threat stems with weights, targets, negations, verbs of reported speech).
 Three small machines read a clause's classes together: one remembers that a target was named, one that a negation is near, one that the
 clause reports what somebody else said. Their product state says by which factor an insult or a threat counts; the clause's score is
-the sum of what matched, and a text's score comes from its clauses. So a bare word, a denied one and a quoted one differ.
+the sum of what matched, and a text's score comes from its clauses. So a bare word, a denied one and a quoted one differ. A threat is a
+sequence of whole words, the last of them its target where it names one. Reported speech goes on over a colon and a quotation mark, and
+a verb of report after a match counts for what stands before it.
 
 Insult stems are learned from labelled texts beside the listed ones: beginnings of words that stand nearly always in toxic texts.
 Texts are searched with one automaton of all stems, and only clauses with a hit are read by the grammar.
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -37,9 +40,13 @@ SAMPLE, MAX_STEMS, STEM = 20_000, 5000, (4, 5, 6, 7, 8)
 LEAST_TEXTS, LEAST_ODDS, LEAST_EVIDENCE = 8, 20.0, 40.0
 #: Weight of a listed stem, factors of the machines, words a negation reaches.
 LISTED, NAMED, DENIED, QUOTED, REACH = 4.0, 1.25, 0.4, 0.6, 3
+#: Characters before a colon or around a quotation that are looked at for a verb of report.
+NEAR = 200
 PREDICT = 0.3
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _END = re.compile(r"[.!?;:\n]")
+_CLOSING = {'"': '"', "“": "”", "„": "“”", "«": "»"}
+_MARKS = re.compile('["“”„«»\n]')
 
 
 class Grammar(NamedTuple):
@@ -49,36 +56,75 @@ class Grammar(NamedTuple):
     coefficients: tuple[float, ...]
 
 
-def clause_score(clause: str, stems: dict[str, float], lengths: tuple[int, ...]) -> float:
-    """What the machines make of a clause in lower case: the sum of its matches' weights by the state each is met in."""
-    named = quoted = False
+def clause_score(clause: str, stems: dict[str, float], lengths: tuple[int, ...], reported: bool = False) -> float:
+    """What the machines make of a clause in lower case: the sum of its matches' weights by the state each is met in. ``reported``: by what stands around."""
+    named, quoted = False, reported
     denied, total, last = 0, 0.0, 0.0
-    for word in _WORD.findall(clause):
-        if word in _NEGATIONS:
+    threats = {m.start() for m in _THREAT.finditer(clause)}
+    for found in _WORD.finditer(clause):
+        word = found[0]
+        kind = word.replace("’", "'")
+        if kind in _NEGATIONS:
             denied = REACH + 1
-        elif word in _REPORTED:
+        elif kind in _REPORTED:
             quoted = True
-        if word in _TARGETS:
+        if kind in _TARGETS:
             named = True
             total, last = total + last * (NAMED - 1), 0.0
         weight = max((stems.get(word[:n], 0.0) for n in lengths if n <= len(word)), default=0.0)
         if weight:
-            last = weight * (DENIED if denied else 1.0) * (QUOTED if quoted else 1.0)
+            last = weight * (DENIED if denied else 1.0)
             total += last * (NAMED if named else 1.0)
             last = 0.0 if named else last
+        if found.start() in threats:  # it names its target
+            total += LISTED * NAMED * (DENIED if denied else 1.0)
         denied = max(0, denied - 1)
-    for threat in _THREATS:
-        if threat in clause:
-            total += LISTED * NAMED * (QUOTED if quoted else 1.0)
-    return total
+    return total * (QUOTED if quoted else 1.0)
 
 
-_TARGETS, _NEGATIONS, _REPORTED, _THREATS = frozenset(TARGETS), frozenset(NEGATIONS), frozenset(REPORTED), tuple(THREATS)
+_TARGETS, _NEGATIONS, _REPORTED = frozenset(TARGETS), frozenset(NEGATIONS), frozenset(REPORTED)
+_THREAT = re.compile(r"(?<![\w'’])(?:" + "|".join(t.replace(" ", r"[^\S\n]+") for t in THREATS) + r")(?![\w]|['’]\w)")
+
+
+def _reports(piece: str) -> bool:
+    return any(w in _REPORTED for w in _WORD.findall(piece))
+
+
+def _quotations(low: str) -> tuple[list[int], list[int]]:
+    """Where quotations begin and where each ends, a line's end closing them."""
+    begins, ends, mark = [], [], ""
+    for found in _MARKS.finditer(low):
+        c = found[0]
+        if not mark and c in _CLOSING:
+            begins.append(found.start())
+            mark = _CLOSING[c]
+        elif mark and (c in mark or c == "\n"):
+            ends.append(found.start())
+            mark = ""
+    return begins, [*ends, *[len(low)] * (len(begins) - len(ends))]
+
+
+def _reported_around(low: str, a: int, b: int, quotations: tuple[list[int], list[int]]) -> bool:
+    """Whether the clause stands after a colon or in a quotation, and a verb of report in the clause before that, or in the one after the quotation."""
+
+    def before(end: int) -> bool:
+        piece = low[max(0, end - NEAR) : end].rstrip(" ,:\t")
+        return _reports(_END.split(piece)[-1])
+
+    def after(start: int) -> bool:
+        piece = low[start : start + NEAR]
+        return _reports(_END.split(piece)[0])
+
+    if a and low[a - 1] == ":" and before(a - 1):
+        return True
+    begins, ends = quotations
+    i = bisect_left(begins, b) - 1  # the last that begins before the clause ends
+    return i >= 0 and ends[i] >= a and (before(begins[i]) or after(ends[i] + 1))
 
 
 def _automaton(stems: dict[str, float]) -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    for stem in {*stems, *_THREATS}:
+    for stem in {*stems, *(t.split()[0] for t in THREATS)}:
         found.add_word(stem, len(stem))
     found.make_automaton()
     return found
@@ -99,7 +145,8 @@ def features(text: str, stems: dict[str, float], automaton: ahocorasick.Automato
         begin = spans[-1][1] if spans else 0
         begin = max(begin, *(low.rfind(c, begin, start) + 1 for c in ".!?;:\n"))
         spans.append((begin, after))
-    scores = [s for a, b in spans if (s := clause_score(low[a:b], stems, lengths)) > 0]
+    quotations = _quotations(low) if spans else ([], [])
+    scores = [s for a, b in spans if (s := clause_score(low[a:b], stems, lengths, _reported_around(low, a, b, quotations))) > 0]
     if not scores:
         return 0.0, 0.0, 0.0
     return max(scores), math.log1p(sum(scores)), 1000 * len(scores) / max(100, len(low))

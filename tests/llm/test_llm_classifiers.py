@@ -63,6 +63,26 @@ def test_grammar():
     assert toxicity.clause_score("i will kill you", stems, lengths) > 0 and toxicity.clause_score("a quiet day", stems, lengths) == 0
 
 
+def _best(text):
+    stems = dict.fromkeys(toxicity.INSULTS, 4.0)
+    return toxicity.features(text, stems, toxicity._automaton(stems), tuple(sorted({len(s) for s in stems})))[0]
+
+
+def test_threats():
+    plain = _best("I will hurt you")
+    assert _best("I would never hurt you") == plain * toxicity.DENIED and _best("He said I will hurt you") == plain * toxicity.QUOTED
+    assert _best("I will  Hurt   you, idiot") > plain and _best("i will make you pay.") == plain
+    assert [_best(t) for t in ("we beat your price", "a skill you need", "make you payments", "if looks could kill, you know")] == [0.0] * 4
+
+
+def test_reported_speech():
+    plain = _best("you are an idiot")
+    for text in ("he said: you are an idiot", "\"You are an idiot\", he said", "You are an idiot, she wrote", "He said, “Go home! You are an idiot.”", "\"You are an idiot!\" he said.", "he said: i will kill you"):
+        assert _best(text) == plain * toxicity.QUOTED, text
+    for text in ("he said so. you are an idiot", "\"fine\" he said.\nyou are an idiot", "note: you are an idiot", "he said \"fine\". you are an idiot", "\"you are an idiot\". it rains. he said so"):
+        assert _best(text) == plain, text
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     out = toxicity.toxicity(docs, labels).join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id").where("held_out AND toxic IS NOT NULL").toPandas()
