@@ -7,7 +7,8 @@ the sum of what matched, and a text's score comes from its clauses. So a bare wo
 sequence of whole words, the last of them its target where it names one. Reported speech goes on over a colon and a quotation mark, and
 a verb of report after a match counts for what stands before it.
 
-Insult stems are learned from labelled texts beside the listed ones: beginnings of words that stand nearly always in toxic texts.
+Insult stems are learned from labelled texts beside the listed ones: beginnings of words that stand nearly always in toxic texts, and
+words shorter than a beginning, which count as whole words only.
 Texts are searched with one automaton of all stems, and only clauses with a hit are read by the grammar.
 """
 
@@ -71,7 +72,7 @@ def clause_score(clause: str, stems: dict[str, float], lengths: tuple[int, ...],
         if kind in _TARGETS:
             named = True
             total, last = total + last * (NAMED - 1), 0.0
-        weight = max((stems.get(word[:n], 0.0) for n in lengths if n <= len(word)), default=0.0)
+        weight = max((stems.get(word[:n], 0.0) for n in lengths if n == len(word) or STEM[0] <= n < len(word)), default=0.0)
         if weight:
             last = weight * (DENIED if denied else 1.0)
             total += last * (NAMED if named else 1.0)
@@ -138,6 +139,8 @@ def features(text: str, stems: dict[str, float], automaton: ahocorasick.Automato
         start = end - n + 1
         if start and (low[start - 1].isalpha() or low[start - 1] in "'’"):
             continue  # within a word
+        if n < STEM[0] and _WORD.match(low, start).end() > end + 1:
+            continue  # a short word is no beginning
         if spans and start < spans[-1][1]:
             continue
         after = _END.search(low, end)
@@ -208,7 +211,7 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar
     counts = counts.assign(odds=odds, g=g)[(odds >= LEAST_ODDS) & (g >= LEAST_EVIDENCE)]
     stems = dict(listed)
     for stem, weight in sorted(zip(counts["stem"], np.log(counts["odds"]), strict=True), key=lambda x: (len(x[0]), x[0]))[:MAX_STEMS]:
-        if not any(stem[:n] in stems for n in range(2, len(stem) + 1)):
+        if not any(stem[:n] in stems for n in range(min(STEM[0], len(stem)), len(stem) + 1)):
             stems[stem] = float(weight)
     # A longer stem is no evidence of its own where a shorter one stands.
     x = _features(rows.select("text", "toxic"), stems)

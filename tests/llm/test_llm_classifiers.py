@@ -83,6 +83,15 @@ def test_reported_speech():
         assert _best(text) == plain, text
 
 
+def test_short_words_are_whole_words(spark):
+    rows = [(i, f"w{i} what an ass and an asshat", None, None, 0) if i % 2 else (i, f"w{i} we assume an assembly", None, None, 0) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    stems = toxicity.learned(frame(spark, rows), labels).stems
+    assert "ass" in stems and "assh" in stems and not any(s in stems for s in ("assu", "asse"))
+    automaton, lengths = toxicity._automaton(stems), tuple(sorted({len(s) for s in stems}))
+    assert [toxicity.features(t, stems, automaton, lengths)[0] > 0 for t in ("we assume", "ass's", "the ass", "ass, she", "asshats")] == [False, False, True, True, True]
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     out = toxicity.toxicity(docs, labels).join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id").where("held_out AND toxic IS NOT NULL").toPandas()
