@@ -114,8 +114,8 @@ def _passages(docs: DataFrame, places: DataFrame, least: int, head: int) -> Data
     return joined.select("id", "text", "at").mapInArrow(work, "h long, id long, pos int, again boolean")
 
 
-def _stretches(docs: DataFrame, least: int, head: int) -> DataFrame:
-    """``id``, ``original``, ``first_word``, ``n_words`` of every maximal stretch."""
+def _stretches(docs: DataFrame, least: int, head: int, *kinds: str) -> DataFrame:
+    """``id``, ``original``, ``first_word``, ``n_words`` of every maximal stretch; with the kind ``own`` repeats of passages of the same text are apart."""
     spark = docs.sparkSession
     suffixes = written(_suffixes(docs, least, head), scratch_path(spark, "suffixes"))
     shared = suffixes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
@@ -124,12 +124,13 @@ def _stretches(docs: DataFrame, least: int, head: int) -> DataFrame:
     passages = written(_passages(docs, places, least, head), scratch_path(spark, "passages"))
     groups = passages.groupBy("h").agg(F.count("*").alias("n"), F.min("id").alias("first")).where("n > 1")
     repeated = passages.join(groups.select("h", "first"), "h")
-    repeated = repeated.select("id", "pos", ((F.col("id") == F.col("first")) & ~F.col("again")).alias("original"))
-    run = Window.partitionBy("id", "original").orderBy("pos")
+    repeated = repeated.select("id", "pos", ((F.col("id") == F.col("first")) & ~F.col("again")).alias("original"), ((F.col("id") == F.col("first")) & F.col("again")).alias("own"))
+    kinds = ("id", "original", *kinds)
+    run = Window.partitionBy(*kinds).orderBy("pos")
     apart = F.coalesce(F.col("pos") > F.lag("pos").over(run) + least, F.lit(True))
     runs = repeated.withColumn("apart", apart.cast("int")).withColumn("run", F.sum("apart").over(run.rowsBetween(Window.unboundedPreceding, 0)))
-    ends = runs.groupBy("id", "original", "run").agg(F.min("pos").alias("first_word"), F.max("pos").alias("last"))
-    return ends.select("id", "original", "first_word", (F.col("last") - F.col("first_word") + least).alias("n_words"))
+    ends = runs.groupBy(*kinds, "run").agg(F.min("pos").alias("first_word"), F.max("pos").alias("last"))
+    return ends.select(*kinds, "first_word", (F.col("last") - F.col("first_word") + least).alias("n_words"))
 
 
 def repeated_passages(docs: DataFrame, least: int = LEAST, head: int = HEAD) -> DataFrame:
@@ -146,12 +147,14 @@ def repeated_passages(docs: DataFrame, least: int = LEAST, head: int = HEAD) ->
 
 
 def without_repeats(docs: DataFrame, least: int = LEAST, head: int = HEAD) -> DataFrame:
-    """``docs``, columns as given, with every repeat cut out of its text; originals stay. A text of which nothing but white space is left
+    """``docs``, columns as given, with every repeat cut out of its text; originals stay, also where a repeat of a passage of the same
+    text overlaps them; words that repeat another text go. A text of which nothing but white space is left
     goes; one that had nothing else before stays as it is. ``n_chars``, if there, follows the text."""
     given = docs.schema
     docs, restored = clear(docs, "id", "cuts")
     docs = numbered(docs)
-    cuts = _stretches(docs, least, head).where(~F.col("original")).groupBy("id").agg(F.collect_list(F.struct("first_word", "n_words")).alias("cuts"))
+    found = _stretches(docs, least, head, "own").groupBy("id").agg(F.collect_list(F.struct("first_word", "n_words", "original", "own")).alias("cuts"))
+    cuts = found.where(F.exists("cuts", lambda c: ~c["original"]))
     cuts = written(cuts, scratch_path(docs.sparkSession, "cuts"))
     total = cuts.agg(F.sum(F.size("cuts"))).first()[0] or 0
     joined = docs.join(F.broadcast(cuts) if total <= BROADCAST_CUTS else cuts, "id", "left")
@@ -163,11 +166,15 @@ def without_repeats(docs: DataFrame, least: int = LEAST, head: int = HEAD) -> Da
             for i in np.flatnonzero(cuts.is_valid().to_numpy(zero_copy_only=False)).tolist():
                 raw = texts[i].encode()
                 w = next(words(batch.column(at).slice(i, 1), SPACES))
+                cut = np.zeros(len(w.starts) + 1, np.int8)
+                # Repeats of the same text, then its originals, then repeats of other texts.
+                for c in sorted(cuts[i].as_py(), key=lambda c: 0 if c["own"] else 1 if c["original"] else 2):
+                    cut[c["first_word"] : c["first_word"] + c["n_words"]] = not c["original"]
                 bytes_kept, done = [], 0
-                for c in sorted(cuts[i].as_py(), key=lambda c: c["first_word"]):
-                    first, after = c["first_word"], c["first_word"] + c["n_words"]
-                    bytes_kept.append(raw[done : max(done, int(w.starts[first]))])
-                    done = max(done, int(w.starts[after]) if after < len(w.starts) else len(raw))
+                edges = np.flatnonzero(np.diff(cut, prepend=0))
+                for first, after in zip(edges[::2], edges[1::2], strict=True):
+                    bytes_kept.append(raw[done : int(w.starts[first])])
+                    done = int(w.starts[after]) if after < len(w.starts) else len(raw)
                 texts[i] = b"".join([*bytes_kept, raw[done:]]).decode()
             gone = pa.array([bool(c) and not t.strip() for c, t in zip(cuts.is_valid().to_pylist(), texts, strict=True)], pa.bool_())
             arrays = list(batch.columns[:-1])

@@ -95,3 +95,11 @@ def test_null_and_repeated_ids(spark):
 def test_empty(spark):
     assert suffixes.repeated_passages(frame(spark, [])).collect() == []
     assert suffixes.without_repeats(frame(spark, [])).collect() == []
+
+
+def test_cut_spares_overlapped_originals(spark):
+    rng = random.Random(5)
+    line = prose(rng, 10)
+    rows = [(0, " ".join([line] * 6), None, None, 0), (1, "z " * 300, None, None, 0), (2, "end " + " ".join([line] * 6), None, None, 0)]
+    left = {r["doc_id"]: words(r["text"]) for r in suffixes.without_repeats(frame(spark, rows)).collect()}
+    assert left[0][:50] == words(rows[0][1])[:50] and left[1] == ["z"] * 50 and left[2] == ["end"]
