@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casefeatures.llm import decontaminate, jaccard, language, license, mixing, mtree, suffixes, tokens, toxicity, warc
+from casefeatures.llm import conversations, decontaminate, jaccard, language, license, manifest, mixing, mtree, parsing, suffixes, tokens, toxicity, warc
 from casefeatures.sources.files import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,47 @@ r AS (SELECT doc_id, i, original, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_i
 g AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, original ORDER BY i) AS run FROM r)
 SELECT doc_id, CAST(min(i) AS INTEGER) AS first_word, CAST(max(i) - min(i) + 50 AS INTEGER) AS n_words, original FROM g GROUP BY doc_id, original, run
 """
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.documents_proved(table(spark, sf_dir, "documents"))
+
+
+def _field(x: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({x} AS VARCHAR))) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+#: crc32 of a decimal number, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda d, k: xor(d >> 1, 3988292384 * (d & 1)))))"""
+_HEAD = " || ".join(_field(x) for x in ("doc_id", "source", "lang", "n_chars"))
+
+ORACLES["op13_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, lang, sha256({_HEAD} || {_field("text")}) AS h, CASE WHEN {_CRC32} % 3 = 0
+      THEN sha256({_HEAD} || {_field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) ELSE sha256({_HEAD} || {_field("text")}) END AS now FROM documents),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM d),
+t AS (SELECT lang, 0 AS lv, i, h, count(*) OVER (PARTITION BY lang) AS n FROM o
+      UNION ALL SELECT lang, any_value(lv) + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 7) // 8 FROM t WHERE n > 1 GROUP BY lang, i // 8),
+s AS (SELECT lang, h, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS i FROM t WHERE n = 1),
+c AS (SELECT 0 AS lv, i, h, count(*) OVER () AS n FROM s
+      UNION ALL SELECT any_value(lv) + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 7) // 8 FROM c WHERE n > 1 GROUP BY i // 8),
+steps AS (SELECT o.lang, o.i AS leaf, t.lv, t.i, t.h, (o.i >> (3 * t.lv)) AS own FROM o JOIN t ON t.lang IS NOT DISTINCT FROM o.lang AND t.n > 1 AND t.i // 8 = (o.i >> (3 * t.lv)) // 8
+      UNION ALL SELECT o.lang, o.i, 100 + c.lv, c.i, c.h, (s.i >> (3 * c.lv)) FROM o JOIN s ON s.lang IS NOT DISTINCT FROM o.lang JOIN c ON c.n > 1 AND c.i // 8 = (s.i >> (3 * c.lv)) // 8),
+w AS (SELECT lang, leaf, lv, coalesce(string_agg(h, '' ORDER BY i) FILTER (i < own), '') AS l, coalesce(string_agg(h, '' ORDER BY i) FILTER (i > own), '') AS r FROM steps GROUP BY lang, leaf, lv),
+p AS (SELECT lang, leaf, sha256(string_agg(l || r, '' ORDER BY lv)) AS proof, list({{'l': l, 'r': r}} ORDER BY lv) AS way FROM w GROUP BY lang, leaf),
+f AS (SELECT o.doc_id, o.h AS leaf, s.h AS subroot, (SELECT h FROM c WHERE n = 1) AS root, coalesce(p.proof, sha256('')) AS proof_sha256,
+      list_reduce(list_concat([{{'l': '', 'r': o.now}}], coalesce(p.way, [])), lambda a, b: {{'l': '', 'r': sha256(b.l || a.r || b.r)}}).r AS folded_root
+      FROM o JOIN s ON s.lang IS NOT DISTINCT FROM o.lang LEFT JOIN p ON p.lang IS NOT DISTINCT FROM o.lang AND p.leaf = o.i)
+SELECT *, folded_root = root AS verified FROM f
+"""
