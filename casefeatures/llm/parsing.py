@@ -32,7 +32,7 @@ _ODD, _FOLD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _KIND = mix(np.arange(1, KINDS + 1, dtype=np.uint64) * _ODD)
 #: A bin without a phrase.
 NONE = 0xFFFF
-_OUT = "piece int, kind int, doc_id long, n_chars long, text string, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_OUT = "piece int, kind int, doc_id long, n_chars long, text string, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def _label(differ: np.ndarray, names: np.ndarray) -> np.ndarray:
@@ -151,9 +151,14 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(many == 0, 1.0, 2 * equal / np.maximum(many + equal, 1))
 
 
+def packed(signature: np.ndarray) -> list[bytes]:
+    """Fingerprints as bytes, two a bin."""
+    return [row.tobytes() for row in signature.astype(">u2")]
+
+
 def written_out(signature: np.ndarray) -> list[str]:
-    """A fingerprint as hexadecimal text, four digits a bin."""
-    return [row.astype(">u2").tobytes().hex() for row in signature]
+    """Fingerprints as hexadecimal text, four digits a bin."""
+    return [x.hex() for x in packed(signature)]
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -177,10 +182,10 @@ def _compared(ids: list, texts: list[str], signed: np.ndarray, nexts: list[str],
     """The result's columns for rows whose next rows are known."""
     changed = [edited(a, b).encode() for a, b in zip(texts, nexts, strict=True)]
     again = signatures(changed)
-    return [ids, [len(t) for t in texts], [None] * len(ids), [sha256(x).hexdigest() for x in changed], written_out(signed), written_out(again), likeness(signed, again).tolist(), likeness(signed, next_signed).tolist()]
+    return [ids, [len(t) for t in texts], [None] * len(ids), [sha256(x).digest() for x in changed], packed(signed), packed(again), likeness(signed, again).tolist(), likeness(signed, next_signed).tolist()]
 
 
-_TYPES = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.string()] * 4, pa.float64(), pa.float64())
+_TYPES = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), *[pa.binary()] * 3, pa.float64(), pa.float64())
 _NAMES = [c.split()[0] for c in _OUT.split(", ")]
 #: Rows of the first pass: finished, the first of a piece, the last of a piece.
 DONE, FIRST, LAST = 0, 1, 2
@@ -231,7 +236,7 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
     rows = rows.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h", "text").select("doc_id", "text")
     made = written(rows.mapInArrow(_pairs, _OUT), scratch_path(spark, "paired"))
     pieces = sorted(r["piece"] for r in made.where(F.col("kind") == LAST).select("piece").collect())
-    result = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    result = ["doc_id", "n_chars", *[F.lower(F.hex(c)).alias(c) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")], "near_edited", "near_next"]
     done = made.where(F.col("kind") == DONE).select(*result)
     if not pieces:
         return done
