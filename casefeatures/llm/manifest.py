@@ -208,6 +208,7 @@ def proved(leaves: DataFrame) -> DataFrame:
     right, level by level; ``folded_root`` is what it gives with the leaf as it is now. No leaves give no rows.
     """
     spark = leaves.sparkSession
+    leaves = written(leaves, scratch_path(spark, "leaves"))  # small; texts are hashed once, not again for the cut points of the order
     ordered = placed(leaves, ["tree"], ["doc_id", "digest"]).withColumnRenamed("doc_id", "id")
     made = rounds(ordered)
     tops = placed(subroots(made), [], ["tree"])
