@@ -3,12 +3,19 @@
 A text's set holds its distinct shingles of five words (fewer words: one shingle of all; none: an empty set that is linked
 with nothing). Two sets that are similar enough and sorted by one common order share many of their first tokens: with at
 least ``t`` common tokens, the first ``n - t + k`` tokens of both hold ``k`` common ones. Rare tokens come first in that order.
-A text whose first tokens are frequent takes a longer prefix (a larger ``k``) and asks for ``k`` common tokens; ``k`` is the one
-with the lowest estimated cost of reading lists and of comparing candidates.
+A text whose first tokens are frequent takes a longer prefix (a larger ``k``); ``k`` is the one with the lowest estimated cost of reading
+lists and of comparing candidates. A pair is looked at only if it shares as many prefix tokens as the smaller ``k`` of the two asks for.
 
 Equal sets are made one class first. A group of similar classes is never expanded into all pairs: every class is compared with
-the hub (smallest class) of its lists, and only what is still unconnected goes to the exact join. All steps are Spark joins
-and aggregations that combine early; a hot list is a skewed join side, which adaptive execution splits.
+the hub (smallest class) of its lists. What is still unconnected goes to exact joins, in two parts:
+
+- Classes near one hub (at least half alike) are a family, each described by what it lost of and added to the family's centre (the tokens of
+  most of its classes). Two classes share the centre less both losses, plus their common losses and additions, so a similar pair must have a known
+  number of these in common: if none, it is similar without a look; else the multi-match prefix join is made on losses and additions. Altered
+  copies that are just not similar have few alterations in common and never meet.
+- Pairs of different families meet in the lists of their own prefixes. In a list, the classes of its largest family meet the others only.
+
+All steps are Spark joins and aggregations; a hub's set is sent to its classes in lots, so that no task gets all classes of a hub.
 """
 
 from __future__ import annotations
@@ -37,7 +44,9 @@ BLOCK, BLOCK_LEAST = 2_000_000, 4
 #: Prefixes are lengthened by at most so many tokens.
 MOST_MATCHES = 8
 #: Turns of comparing with hubs, at most; they end early when a turn links less than this share of the classes it compared.
-HUB_TURNS, WORTH = 4, 0.02
+HUB_TURNS, WORTH = 2, 0.02
+#: Percent from which a class belongs to the family of its hub; classes that meet one copy of a hub's set; tokens that changes must have in common, at most (one changed word changes as many as a shingle has).
+NEAR, LOT, MOST_ALTERED = 50, 256, 2 * SHINGLE + 1
 
 
 def sets_of(column: pa.Array, k: int = SHINGLE) -> Iterator[tuple[int, np.ndarray]]:
@@ -90,16 +99,11 @@ def _ceil(a: int, b: int) -> int:
 
 
 class Prefix(NamedTuple):
-    """The first tokens of a set in the common order, ``k`` of which a partner must share; ``short`` of them do for a larger partner.
-
-    ``end`` and ``short_end`` are the places of the last token of either in the common order.
-    """
+    """The first tokens of a set in the common order, ``k`` of which a partner must share; ``short`` of them do for a larger partner."""
 
     k: int
     tokens: np.ndarray
     short: int
-    end: tuple[int, int]
-    short_end: tuple[int, int]
 
 
 def prefix_of(tokens: np.ndarray, often: np.ndarray, n_often: np.ndarray, percent: int = THRESHOLD) -> Prefix:
@@ -123,16 +127,14 @@ def prefix_of(tokens: np.ndarray, often: np.ndarray, n_often: np.ndarray, percen
         most = min(MOST_MATCHES, least)
         costs = [read[base + k - 2] + n * min(read[base - 1], read[base + k - 2] / (k + spare)) for k in range(1, most + 1)]
         k = 1 + int(np.argmin(costs))
-    first, short = tokens[order[: base + k - 1]], n - larger + k
-    ends = [(int(lists[i]), int(first[i]) - (1 << 63)) for i in (len(first) - 1, short - 1)]  # unsigned order in signed numbers
-    return Prefix(k, first, short, *ends)
+    return Prefix(k, tokens[order[: base + k - 1]], n - larger + k)
 
 
-_PREFIXES = "doc_id long, n long, ka long, kb long, k int, short int, prefix array<long>, end struct<n: long, token: long>, short_end struct<n: long, token: long>"
+_PREFIXES = "doc_id long, n long, ka long, kb long, k int, short int, prefix array<long>"
 
 
 def _prefixes(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n``, ``ka``, ``kb`` (the set's name), ``k``, ``prefix``, ``short``, ``end`` and ``short_end`` of every row."""
+    """``doc_id``, ``n``, ``ka``, ``kb`` (the set's name), ``k``, ``short`` and ``prefix`` of every row."""
     spark = docs.sparkSession
     often = spark.sparkContext.broadcast(frequent_tokens(docs))
 
@@ -144,17 +146,14 @@ def _prefixes(docs: DataFrame) -> DataFrame:
             def out() -> pa.RecordBatch:
                 at = np.cumsum([0, *(len(p) for p in held)])
                 prefix = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate([*held, np.empty(0, np.uint64)]).view(np.int64)))
-                i, n, a, b, k, short, *ends = zip(*rows, strict=True)
+                i, n, a, b, k, short = zip(*rows, strict=True)
                 longs = [pa.array(x, pa.int64()) for x in (n, a, b)]
                 ints = [pa.array(x, pa.int32()) for x in (k, short)]
-                places = [pa.array(x, pa.int64()) for x in ends]
-                ends = [pa.StructArray.from_arrays(places[j : j + 2], ["n", "token"]) for j in (0, 2)]
-                names = ["doc_id", "n", "ka", "kb", "k", "short", "prefix", "end", "short_end"]
-                return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(i)), *longs, *ints, prefix, *ends], names)
+                return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(i)), *longs, *ints, prefix], ["doc_id", "n", "ka", "kb", "k", "short", "prefix"])
 
             for i, x in sets_of(batch.column(1)):
-                p = prefix_of(x, tokens, counts) if len(x) else Prefix(0, x, 0, (0, 0), (0, 0))
-                rows.append((i, len(x), *key(x), p.k, p.short, *p.end, *p.short_end))
+                p = prefix_of(x, tokens, counts) if len(x) else Prefix(0, x, 0)
+                rows.append((i, len(x), *key(x), p.k, p.short))
                 held.append(p.tokens)
                 taken += len(p.tokens)
                 if taken >= BLOCK // 4:
@@ -198,15 +197,30 @@ def _sets(docs: DataFrame, wanted: DataFrame, carry: list[str]) -> DataFrame:
     return joined.select("text", "ka", "kb", *carry).mapInArrow(work, schema)
 
 
-def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
-    """Those of ``pairs`` (``a``, ``b``) whose sets are similar enough."""
+def _in_lots(rows: DataFrame, one: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (``one``, ``key``) with ``lot``, and the lots of every ``key``: what a key's rows share is copied for each lot of them."""
+    lots = rows.groupBy(key).agg(F.ceil(F.count("*") / LOT).alias("lots"))
+    dealt = rows.join(lots, key).select(one, key, F.pmod(F.xxhash64(one), F.col("lots")).alias("lot"))
+    return dealt, lots.select(key, F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1)).alias("lot"))
+
+
+def _with_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs`` (``a``, ``b``) with the sets of both (``tokens``, ``others``)."""
     names = classes.select("cls", "doc_id", "ka", "kb")
-    left = _sets(docs, pairs.join(names.withColumnRenamed("cls", "a"), "a"), ["a", "b"])
-    right = _sets(docs, pairs.select("b").distinct().join(names.withColumnRenamed("cls", "b"), "b"), ["b"]).withColumnRenamed("tokens", "others")
+    dealt, copies = _in_lots(pairs, "a", "b")
+    left = _sets(docs, dealt.join(names.withColumnRenamed("cls", "a"), "a"), ["a", "b", "lot"])
+    right = _sets(docs, copies.join(names.withColumnRenamed("cls", "b"), "b"), ["b", "lot"]).withColumnRenamed("tokens", "others")
+    return left.join(right, ["b", "lot"]).drop("lot")
+
+
+def compared(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs`` with ``common`` and ``union``, the sizes of the sets' intersection and union."""
     common = F.size(F.array_intersect("tokens", "others"))
-    union = F.size("tokens") + F.size("others") - F.col("common")
-    met = left.join(right, "b").withColumn("common", common)
-    return met.where(F.lit(100) * F.col("common") >= F.lit(percent) * union).select("a", "b").distinct()
+    return _with_sets(docs, classes, pairs).select("a", "b", common.alias("common"), (F.size("tokens") + F.size("others") - common).alias("union"))
+
+
+def _at_least(percent: int) -> F.Column:
+    return F.lit(100) * F.col("common") >= F.lit(percent) * F.col("union")
 
 
 def _long_enough(n: str, m: str, percent: int) -> F.Column:
@@ -228,30 +242,81 @@ def _hub_pairs(tokens: DataFrame, percent: int, turn: int) -> DataFrame:
     return counted.groupBy("a").agg(F.max(F.struct("shared", (-F.col("b")).alias("b"))).alias("x")).select("a", (-F.col("x.b")).alias("b"))
 
 
-def _all_pairs(tokens: DataFrame, percent: int) -> DataFrame:
-    """Every pair of classes of two components that shares a token where a similar pair must.
+def _across(tokens: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of two components and two families (``fam``, null for none) that share as many prefix tokens as a similar pair must.
 
     Of a pair the smaller set (of equal ones that with more tokens of its own) needs the shorter prefix only, since a larger
-    partner must share more of it. The prefix that ends first is seen whole by the other: its tokens that are in no list of several
-    components are not shared, so of the others all but a few must be, and one of the first few that are must be among these few.
+    partner must share more of it. Where a shared token stands bounds what the pair can have in common; a pair that one of its tokens rules out is not similar.
     """
-    lists = tokens.groupBy("token").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first < last")
+    tokens = tokens.withColumn("fam", F.coalesce("fam", -F.col("cls") - 1))
+    sizes = tokens.groupBy("token", "fam").agg(F.count("*").alias("c"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    lists = sizes.groupBy("token").agg(F.max(F.struct("c", "fam")).alias("x"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("fams"))
+    lists = lists.where("lo < hi AND fams > 1").select("token", F.col("x.fam").alias("largest"))
     own = Window.partitionBy("cls")
-    right = tokens.drop("alone").join(lists.select("token"), "token", "left_semi")
-    alone = {"alone": F.col("p") - F.count("*").over(own), "ashort": F.col("short") - F.count_if(F.col("pos") < F.col("short")).over(own)}
-    right = right.withColumns({"seen": F.row_number().over(own.orderBy("pos")) - 1, **alone})
-    right = right.withColumn("role", F.struct("n", (-F.col("alone")).alias("alone"), "cls"))
-    left = right.where("pos < short").selectExpr(
-        "token AS atoken", "cls AS a", "root AS aroot", "n AS an", "role AS arole", "pos AS apos", "seen AS aseen", "ashort AS aalone", "short_end AS aend"
+    met = written(tokens.join(lists, "token").withColumn("seen", F.row_number().over(own.orderBy("pos")) - 1), scratch_path(tokens.sparkSession, "lists"))
+    met = met.withColumns({"role": F.struct("n", (-F.col("alone")).alias("alone"), "cls"), "inner": F.col("fam") == F.col("largest")})
+    # Classes of the largest family stand on the right of side 0, all others on that of side 1: two of the largest family never meet.
+    sides = F.when(F.col("inner"), F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1)))
+    left = met.where("pos < short").withColumn("side", F.explode(sides)).selectExpr(
+        "token", "side", "cls AS a", "root AS aroot", "fam AS afam", "n AS an", "k AS ak", "role AS arole", "pos AS apos", "seen AS aseen"
     )
-    right = right.select("token", "cls", "root", "n", "role", "pos", "seen", "alone", "end")
+    right = met.selectExpr("token", "IF(inner, 0, 1) AS side", "cls AS b", "root", "fam", "n", "k", "role", "pos", "seen")
     common = F.expr(f"({percent} * (an + n) + {99 + percent}) div {100 + percent}")
     # Before this token the two share at most what each has in lists, after it at most the shorter rest.
     possible = F.least("aseen", "seen") + F.least(F.col("an") - F.col("apos"), F.col("n") - F.col("pos"))
-    few = F.when(F.col("aend") <= F.col("end"), F.col("aseen") <= F.col("an") - common - F.col("aalone")).otherwise(F.col("seen") <= F.col("n") - common - F.col("alone"))
-    roles = (F.col("aroot") != F.col("root")) & (F.col("arole") < F.col("role"))
-    met = left.join(right, (F.col("atoken") == F.col("token")) & roles & _long_enough("an", "n", percent) & (possible >= common) & few)
-    return met.select("a", F.col("cls").alias("b")).distinct()
+    apart = (F.col("aroot") != F.col("root")) & (F.col("afam") != F.col("fam")) & (F.col("arole") < F.col("role"))
+    near = left.alias("l").join(right.alias("r"), ["token", "side"]).where(apart & _long_enough("an", "n", percent) & (possible >= common))
+    shared = near.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first(F.least("ak", "k")).alias("asked"))
+    return shared.where("shared >= asked").select("a", "b")
+
+
+def _within(docs: DataFrame, classes: DataFrame, families: DataFrame, roots: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of classes of one family and two components: links known without a look, and the pairs that share as many alterations as a similar pair must.
+
+    The centre H holds the tokens of more than half of a family's classes. With losses and additions L and A, a pair has |H| - |La| - |Lb| and
+    its common losses and additions in common. ``need`` of a class is its half of what that falls short of, times ``unit``; of a pair the sum. A pair
+    that needs nothing is similar; so are then both to the family's class of least need, and linking these two suffices.
+    """
+    spark, unit = docs.sparkSession, 2 * (100 + percent)
+    placed = families.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    open_ = placed.groupBy("fam").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members")).where("lo < hi").select("fam", "members")
+    placed = written(placed.join(open_, "fam"), scratch_path(spark, "open"))
+    dealt, copies = _in_lots(placed, "cls", "fam")
+    sets = _sets(docs, dealt.join(classes.select("cls", "doc_id", "ka", "kb"), "cls"), ["cls", "fam", "lot"])
+    counts = sets.select("fam", F.explode("tokens").alias("token")).groupBy("fam", "token").agg(F.count("*").alias("n"))
+    centres = counts.join(open_, "fam").where(F.col("n") * 2 > F.col("members")).groupBy("fam").agg(F.collect_list("token").alias("others"))
+    centres = written(copies.join(centres, "fam"), scratch_path(spark, "centres"))
+    lost, added = F.array_except("others", "tokens"), F.array_except("tokens", "others")
+    sets = sets.join(centres, ["fam", "lot"]).select("cls", lost.alias("lost"), added.alias("added"), F.size("tokens").alias("n"), F.size("others").alias("h"))
+    need = 2 * percent * F.col("n") + unit * F.size("lost") - (100 + percent) * F.col("h")
+    altered = written(sets.withColumn("need", need.cast("long")).join(placed, "cls"), scratch_path(spark, "altered"))
+
+    sizes = altered.groupBy("fam", "root").agg(F.count("*").alias("c"), F.min("need").alias("need"), F.min(F.struct("need", "cls")).alias("first"))
+    home = sizes.groupBy("fam").agg(F.max(F.struct("c", "root")).alias("x"), F.min("first").alias("first"))
+    home = home.select("fam", F.col("x.root").alias("home"), F.col("first.need").alias("least"), F.col("first.cls").alias("nearest"))
+    outer = F.min(F.when(F.col("root") != F.col("home"), F.col("need"))).alias("outer_least")
+    least = written(home.join(sizes.join(home, "fam").groupBy("fam").agg(outer), "fam"), scratch_path(spark, "least"))
+    links = altered.join(least, "fam").where((F.col("need") + F.col("least") <= 0) & (F.col("cls") != F.col("nearest"))).select(F.col("cls").alias("a"), F.col("nearest").alias("b"))
+    size = F.size("lost") + F.size("added")
+    marks = F.concat(F.transform("lost", lambda t: F.xxhash64("fam", F.lit(0), t)), F.transform("added", lambda t: F.xxhash64("fam", F.lit(1), t)))
+    marked = altered.select("cls", "fam", "root", "need", size.alias("size"), F.explode(marks).alias("mark"))
+    many = marked.groupBy("mark").agg(F.count("*").alias("many")).where("many > 1")
+    marked = marked.join(many, "mark")
+    own = Window.partitionBy("cls")
+    alone = F.col("size") - F.count("*").over(own)
+    marked = marked.withColumn("pos", alone + F.row_number().over(own.orderBy("many", "mark")) - 1).join(least, "fam")
+
+    def side(other: str) -> DataFrame:
+        """The first marks of every class, long enough for the least need of a partner."""
+        asked = F.greatest(F.lit(1), F.ceil((F.col("need") + F.col(other)) / unit))
+        rows = marked.withColumn("asked", asked).withColumn("k", F.least(F.lit(MOST_ALTERED), "asked"))
+        return rows.where(F.col("pos") < F.col("size") - F.col("asked") + F.col("k"))
+
+    marked = written(marked, scratch_path(spark, "marks"))
+    left = side("outer_least").selectExpr("mark", "cls AS a", "root AS aroot", "k AS ak")
+    right = side("least").where("root <> home").selectExpr("mark", "cls AS b", "root", "k")
+    met = left.join(right, "mark").where("aroot <> root").groupBy("a", "b").agg(F.count("*").alias("shared"), F.first(F.least("ak", "k")).alias("asked"))
+    return links, met.where("shared >= asked").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def jaccard_classes(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
@@ -268,28 +333,32 @@ def jaccard_classes(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     )
     first = classes.select(F.col("cls").alias("row"))
     first = F.broadcast(first) if classes.count() <= BROADCAST_ROWS else first
-    tokens = rows.join(first, "row", "left_semi").select(
-        F.posexplode("prefix").alias("pos", "token"), F.col("row").alias("cls"), "n", F.size("prefix").alias("p"), "short", "end", "short_end"
-    )
-    tokens = tokens.withColumn("root", F.col("cls"))
-    shared = tokens.groupBy("token").agg(F.count("*").alias("_n")).where("_n > 1").select("token")
-    tokens = tokens.join(shared, "token")
-    alone = tokens.groupBy("cls").agg((F.first("p") - F.count("*")).alias("alone"))
-    tokens = written(tokens.join(alone, "cls"), scratch_path(spark, "tokens"))
-
-    links, left = None, tokens
+    sets = rows.join(first, "row", "left_semi").withColumnRenamed("row", "cls")
+    tokens = sets.select(F.posexplode("prefix").alias("pos", "token"), "cls")
+    lists = tokens.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).where("lo < hi").select("token")
+    tokens = written(tokens.join(lists, "token"), scratch_path(spark, "tokens"))
+    alone = tokens.groupBy("cls").agg(F.count("*").alias("met"))
+    own = sets.select("cls", "n", "k", "short", F.size("prefix").alias("p")).join(alone, "cls").selectExpr("cls", "n", "k", "short", "p - met AS alone")
+    tokens = written(tokens.join(own, "cls").withColumn("root", F.col("cls")), scratch_path(spark, "tokens"))
+
+    found, left, roots = None, tokens, None
     for turn in range(HUB_TURNS):
         pairs = written(_hub_pairs(left, percent, turn), scratch_path(spark, "pairs"))
-        found = written(verified(docs, classes, pairs, percent), scratch_path(spark, "links"))
-        links = found if links is None else links.unionByName(found)
-        n_found = found.count()
-        if n_found:
-            roots = components(links).withColumnRenamed("node", "cls")
-            left = tokens.drop("root").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        new = written(compared(docs, classes, pairs).where(_at_least(min(NEAR, percent))), scratch_path(spark, "compared"))
+        found = new if found is None else found.unionByName(new)
+        links = found.where(_at_least(percent)).select("a", "b")
+        n_found = new.where(_at_least(percent)).count()
+        if n_found or roots is None:
+            roots = components(links)
+            left = tokens.drop("root").join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
         if n_found <= WORTH * pairs.count():
             break
-    pairs = written(_all_pairs(left, percent), scratch_path(spark, "pairs"))
-    roots = components(links.unionByName(verified(docs, classes, pairs, percent)))
+    families = written(components(found.select("a", "b")).withColumnsRenamed({"node": "cls", "root": "fam"}), scratch_path(spark, "families"))
+    near, pairs = _within(docs, classes, families, roots, percent)
+    fams = families.select("cls", "fam")
+    pairs = written(pairs.unionByName(_across(left.join(fams, "cls", "left"), percent)).distinct(), scratch_path(spark, "pairs"))
+    more = compared(docs, classes, pairs).where(_at_least(percent)).select("a", "b")
+    roots = components(links.unionByName(near).unionByName(more))
 
     named = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
