@@ -46,7 +46,9 @@ MOST_MATCHES = 8
 #: Turns of comparing with hubs, at most; they end early when a turn links less than this share of the classes it compared.
 HUB_TURNS, WORTH = 2, 0.02
 #: Percent from which a class belongs to the family of its hub; classes that meet one copy of a hub's set; tokens that changes must have in common, at most (one changed word changes as many as a shingle has).
-NEAR, LOT, MOST_ALTERED = 50, 256, 2 * SHINGLE + 1
+NEAR, LOT, MOST_ALTERED = 50, 256, 4 * SHINGLE + 1
+#: What it costs to look at a pair, in rows read from lists of alterations.
+LOOK = 100
 
 
 def sets_of(column: pa.Array, k: int = SHINGLE) -> Iterator[tuple[int, np.ndarray]]:
@@ -307,10 +309,15 @@ def _within(docs: DataFrame, classes: DataFrame, families: DataFrame, roots: Dat
     marked = marked.withColumn("pos", alone + F.row_number().over(own.orderBy("many", "mark")) - 1).join(least, "fam")
 
     def side(other: str) -> DataFrame:
-        """The first marks of every class, long enough for the least need of a partner."""
-        asked = F.greatest(F.lit(1), F.ceil((F.col("need") + F.col(other)) / unit))
-        rows = marked.withColumn("asked", asked).withColumn("k", F.least(F.lit(MOST_ALTERED), "asked"))
-        return rows.where(F.col("pos") < F.col("size") - F.col("asked") + F.col("k"))
+        """The first marks of every class, as many as the least need of a partner asks for and ``k`` of the lowest estimated cost allows.
+
+        A class whose shortest prefix holds marks of its own only has no partner.
+        """
+        first, asked = F.min("pos").over(own), F.greatest(F.lit(1), F.ceil((F.col("need") + F.col(other)) / unit))
+        rows = marked.withColumns({"first": first, "read": F.sum("many").over(own.orderBy("pos")), "asked": asked}).withColumn("base", F.col("size") - F.col("asked"))
+        k = F.col("pos") - F.col("base") + 1
+        cost = F.when((k >= 1) & (k <= F.least(F.lit(MOST_ALTERED), "asked")), F.struct((F.col("read") * (1 + LOOK / k)).alias("cost"), k.alias("k")))
+        return rows.where("base >= first").withColumn("k", F.min(cost).over(own)["k"]).where(F.col("pos") < F.col("base") + F.col("k"))
 
     marked = written(marked, scratch_path(spark, "marks"))
     left = side("outer_least").selectExpr("mark", "cls AS a", "root AS aroot", "k AS ak")
