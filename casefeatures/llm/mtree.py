@@ -7,7 +7,8 @@ below the k-th best score so far. With d the Euclidean distance, ``2 <q, x> = |q
 the triangle inequality, and most nodes and vectors are ruled out without an inner product. Bounds are rounded up, scores are integers:
 the result is exact.
 
-Queries go to all blocks in lots of a bounded number; each block returns its k best of each query, and those are merged.
+Queries go to the blocks in lots of a bounded number: first each to the blocks of its nearest pivot, whose k-th best score is a floor for all others, then to the
+others, which most leave at the root. A block is searched for all its queries together; its k best of each are merged with the other blocks'.
 """
 
 from __future__ import annotations
@@ -103,51 +104,63 @@ class Tree:
             self.entries = [None if e is None else (e[0], e[1], e[2].astype(float), e[3]) for e in self.entries]
         self.squares = [None if e is None else (e[2].astype(float) ** 2).sum(1) for e in self.entries]
 
-    def search(self, q: np.ndarray, own: int, k: int, floor: int | None) -> list[tuple[int, int, int]]:
-        """The k best (score, -id, row) but row ``own``; what is below ``floor`` may be left out."""
-        plain, square = q.astype(float), float((q.astype(float) ** 2).sum())
-        length = square**0.5
-        slack = 1 + 1e-9 * (square + float(self.norm.max()) ** 2)
-        best: list[tuple[int, int, int]] = []
-        away = float(np.linalg.norm(plain - self.centre[0]))
-        heap = [(-float("inf"), 0, away)]
-        least = -float("inf") if floor is None else float(floor)
+    def search(self, queries: np.ndarray, own: np.ndarray, k: int, floors: np.ndarray) -> list[list[tuple[int, int, int]]]:
+        """For each query the k best (score, -id, -row) but row ``own``; what is below its floor may be left out.
+
+        All queries go through the tree together: the node with the highest bound of any of them is next, and it is opened for those whose
+        floor its bound still reaches. A leaf's products for these are one matrix product.
+        """
+        plain = queries.astype(float)
+        square = (plain**2).sum(1)
+        length, slack = np.sqrt(square), 1 + 1e-9 * (square + float(self.norm.max()) ** 2)
+        exact = self.plain and float(square.max(initial=0)) < 2**52
+        best: list[list[tuple[int, int, int]]] = [[] for _ in queries]
+        least = floors.astype(float)
+        everyone = np.arange(len(queries))
+        away = np.linalg.norm(plain - self.centre[0], axis=1)
+        heap = [(-float("inf"), 0, everyone, np.full(len(queries), float("inf")), away)]
         while heap:
-            bound, node, away = heapq.heappop(heap)
-            if -bound < least:
-                break
+            _, node, who, bound, away = heapq.heappop(heap)
+            still = bound >= least[who]
+            who, away = who[still], away[still]
+            if not len(who):
+                continue
             if self.leaf[node]:
                 ids, rows, vectors, to_centre = self.entries[node]
-                may = (square + self.squares[node] - (away - to_centre) ** 2) / 2 + slack >= least
-                if not may.any():
+                may = (square[who, None] + self.squares[node][None, :] - (away[:, None] - to_centre[None, :]) ** 2) / 2 + slack[who, None] >= least[who, None]
+                some = np.flatnonzero(may.any(0))
+                if not len(some):
                     continue
-                scores = vectors[may] @ (plain if self.plain and square < 2**52 else q)
-                good = scores >= least
-                for s, i, r in zip(scores[good].tolist(), ids[may][good].tolist(), rows[may][good].tolist(), strict=True):
-                    if r == own or s < least:
+                scores = plain[who] @ vectors[some].T if exact else queries[who] @ vectors[some].astype(np.int64).T
+                for q, x in zip(*np.nonzero(scores >= least[who, None]), strict=True):
+                    i, s, at = int(who[q]), int(scores[q, x]), some[x]
+                    if rows[at] == own[i] or s < least[i]:
                         continue
-                    s = int(s)
-                    if len(best) < k:
-                        heapq.heappush(best, (s, -i, -r))
-                    elif (s, -i, -r) > best[0]:
-                        heapq.heapreplace(best, (s, -i, -r))
-                    if len(best) == k:
-                        least = max(least, best[0][0])
+                    item, mine = (s, -int(ids[at]), -int(rows[at])), best[i]
+                    if len(mine) < k:
+                        heapq.heappush(mine, item)
+                    elif item > mine[0]:
+                        heapq.heapreplace(mine, item)
+                    if len(mine) == k:
+                        least[i] = max(least[i], mine[0][0])
                 continue
             below = self.children[node]
             # Without a distance of their own: by the parent's distance and the stored one.
-            gap = np.maximum(np.abs(away - self.to_parent[below]) - self.radius[below], 0)
-            rough = (square + self.norm[below] ** 2 - gap**2) / 2 + slack
-            below = below[rough >= least]
+            gap = np.maximum(np.abs(away[:, None] - self.to_parent[below][None, :]) - self.radius[below][None, :], 0)
+            rough = (square[who, None] + self.norm[below][None, :] ** 2 - gap**2) / 2 + slack[who, None] >= least[who, None]
+            below, rough = below[rough.any(0)], rough[:, rough.any(0)]
             if not len(below):
                 continue
-            apart = np.sqrt(((self.centre[below] - plain) ** 2).sum(1))
-            near = np.maximum(apart - self.radius[below], 0)
-            upper = np.minimum(self.centre[below] @ plain + length * self.radius[below], (square + self.norm[below] ** 2 - near**2) / 2) + slack
-            for child, u, d in zip(below.tolist(), upper.tolist(), apart.tolist(), strict=True):
-                if u >= least:
-                    heapq.heappush(heap, (-u, child, d))
-        return [(s, -i, -r) for s, i, r in best]
+            apart = np.stack([np.linalg.norm(plain[who] - self.centre[c], axis=1) for c in below], axis=1)
+            near = np.maximum(apart - self.radius[below][None, :], 0)
+            turned = plain[who] @ self.centre[below].T + length[who, None] * self.radius[below][None, :]
+            upper = np.minimum(turned, (square[who, None] + self.norm[below][None, :] ** 2 - near**2) / 2) + slack[who, None]
+            open_ = rough & (upper >= least[who, None])
+            for j, child in enumerate(below.tolist()):
+                at = np.flatnonzero(open_[:, j])
+                if len(at):
+                    heapq.heappush(heap, (-float(upper[at, j].max()), child, who[at], upper[at, j], apart[at, j]))
+        return best
 
 
 def index(vectors: DataFrame, dim: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
@@ -176,13 +189,16 @@ def index(vectors: DataFrame, dim: int) -> tuple[DataFrame, np.ndarray, np.ndarr
     return written(made, scratch_path(vectors.sparkSession, "pages")), pivots, pivot_rows
 
 
-def _searcher(sent, dim: int, k: int):
-    """What searches a block's pages for all queries sent."""
+def _searcher(sent, dim: int, k: int, first: bool):
+    """What searches a block's pages: in the first round for the queries nearest to its pivot, then for all others."""
 
     def search(pages: pd.DataFrame) -> pd.DataFrame:
-        ids, own, queries, floors = sent.value
-        tree = Tree(pages, dim)
-        out = [(o, i, x, s) for i, o, q, f in zip(ids.tolist(), own.tolist(), queries, floors, strict=True) for s, x, _ in tree.search(q, o, k, f)]
+        ids, own, queries, floors, nearest_pivot = sent.value
+        mine = (nearest_pivot == int(pages["block"].iloc[0]) % MAX_PIVOTS) == first
+        out = []
+        if mine.any():
+            found = Tree(pages, dim).search(queries[mine], own[mine], k, floors[mine])
+            out = [(o, i, -x, s) for o, i, best in zip(own[mine].tolist(), ids[mine].tolist(), found, strict=True) for s, x, _ in best]
         return pd.DataFrame(out, columns=["query", "query_id", "vec_id", "score"])
 
     return search
@@ -191,7 +207,8 @@ def _searcher(sent, dim: int, k: int):
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, lot: int = LOT) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: for each row of ``queries`` the k rows of ``vectors`` but itself (by ``row``) of highest
     integer inner product, all if fewer, ties to the smaller id. Both as ``integers`` gives them, written once, so that rows keep their
-    numbers. Repeated rows are rows of their own. No vectors or no queries give no rows. Scores are exact within 64 bits.
+    numbers. Repeated rows are rows of their own. No vectors or no queries give no rows. Scores are exact within 64 bits. Vectors count as filled up
+    with zeros to the longest one's length, so a single long vector lengthens what is held of every block in a task.
     """
     spark = vectors.sparkSession
     dim = max(1, vectors.agg(F.max(F.size("v"))).first()[0] or 0)
@@ -200,19 +217,25 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, lot: int = LOT)
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     pages, pivots, pivot_rows = index(vectors, dim)
     lots = -(-many // lot)
-    found = None
+    found, schema = None, "query long, query_id long, vec_id long, score long"
     for i in range(lots):
         part = queries if lots == 1 else queries.where(F.pmod(F.xxhash64("row"), F.lit(lots)) == i)
         rows = part.orderBy("row").collect()
         ids, own, q = np.array([r["id"] for r in rows], np.int64), np.array([r["row"] for r in rows], np.int64), _matrix([r["v"] for r in rows], dim)
-        # The k-th best pivot is a floor under each query's k-th best score.
-        first = q @ pivots.T
-        first = np.where(pivot_rows[None, :] == own[:, None], np.iinfo(np.int64).min, first)
-        floors = [None] * len(rows) if pivots.shape[0] <= k else np.sort(first, 1)[:, -k].tolist()
-        sent = spark.sparkContext.broadcast((ids, own, q, floors))
-
-        one = pages.groupBy("block").applyInPandas(_searcher(sent, dim, k), "query long, query_id long, vec_id long, score long")
-        one = written(one, scratch_path(spark, "found"))
+        # The k-th best pivot is a floor under each query's k-th best score, the k-th best row of its own block a better one.
+        scores = q @ pivots.T
+        scores = np.where(pivot_rows[None, :] == own[:, None], np.iinfo(np.int64).min, scores)
+        floors = np.full(len(rows), -np.inf) if pivots.shape[0] <= k else np.sort(scores, 1)[:, -k].astype(float)
+        home = _distances(q, pivots).argmin(1)
+        sent = spark.sparkContext.broadcast((ids, own, q, floors, home))
+        near = written(pages.groupBy("block").applyInPandas(_searcher(sent, dim, k, True), schema), scratch_path(spark, "found"))
+        ranked = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))
+        better = near.withColumn("r", ranked).where(F.col("r") == k).select("query", "score").collect()
+        at = {r["query"]: r["score"] for r in better}
+        floors = np.maximum(floors, [float(at.get(r, -np.inf)) for r in own.tolist()])
+        again = spark.sparkContext.broadcast((ids, own, q, floors, home))
+        far = written(pages.groupBy("block").applyInPandas(_searcher(again, dim, k, False), schema), scratch_path(spark, "found"))
+        one = near.unionByName(far)
         found = one if found is None else found.unionByName(one)
     return _ranked(found, k)
 

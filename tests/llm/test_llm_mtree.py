@@ -51,6 +51,18 @@ def test_few_and_none(spark):
         assert sorted(tuple(r) for r in out.collect()) == brute(data)
 
 
+def test_one_long_vector(spark):
+    data = [*rows(120, seed=4), (8888, [0.5] * 40, 0)]
+    out = mtree.top_k(spark.createDataFrame(data, VECTORS), "vec_id", "embedding")
+    assert sorted(tuple(r) for r in out.collect()) == brute(data)
+
+
+def test_large_numbers(spark):
+    data = [(i, [float(2**21 + i * 7 % 13), float(i - 60)], 0) for i in range(120)]
+    out = mtree.top_k(spark.createDataFrame(data, VECTORS), "vec_id", "embedding")
+    assert sorted(tuple(r) for r in out.collect()) == brute(data)
+
+
 def test_search_computes_few_products():
     """Clustered vectors: a search reads few of the leaves."""
     rng = np.random.default_rng(3)
@@ -61,6 +73,6 @@ def test_search_computes_few_products():
     read = []
     entries = tree.entries
     tree.entries = type("L", (), {"__getitem__": lambda _, i: read.append(i) or entries[i]})()
-    got = tree.search(x[1999], 1999, 5, None)
+    got = tree.search(x[1999:], np.array([1999]), 5, np.array([-np.inf]))[0]
     want = sorted(((-int(x[1999] @ x[j]), j) for j in range(1999)))[:5]
-    assert sorted((-s, i) for s, i, _ in got) == want and len(read) < sum(tree.leaf) / 2
+    assert sorted((-s, -i) for s, i, _ in got) == want and len(read) < sum(tree.leaf) / 2
