@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casefeatures.llm.frames import clear, numbered
+from casefeatures.llm.frames import bounded_batches, clear, numbered
 from casefeatures.llm.graph import components
 from casefeatures.llm.words import SPACES, key, mix, sequence, windows, words
 from casefeatures.sources.files import scratch_path, written
@@ -334,6 +334,7 @@ def jaccard_classes(docs: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     ``docs`` are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = written(_prefixes(docs).withColumn("row", F.monotonically_increasing_id()), scratch_path(spark, "prefixes"))
     classes = written(
         rows.where("n > 0").groupBy("ka", "kb", "n").agg(F.min("row").alias("cls"), F.min("doc_id").alias("doc_id")), scratch_path(spark, "classes")

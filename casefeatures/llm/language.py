@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casefeatures.llm.frames import clear
+from casefeatures.llm.frames import bounded_batches, clear, with_fields
 from casefeatures.llm.words import mix
+from casefeatures.sources.files import scratch_path, written
 
 #: Documents per language that are learned from, about; n-grams of a filter; slots and probes.
 SAMPLE, GRAMS, SLOTS, PROBES = 4000, 2000, 1 << 17, 3
-MAX_LANGUAGES = 4096
+#: Languages whose shares are broadcast; more are joined by a shuffle. Every language adds GRAMS n-grams and a bit a slot to what tasks hold.
+BROADCAST_LANGUAGES = 4096
 #: Characters taken at a time.
 PIECE = 1 << 19
 UNKNOWN = "und"
@@ -64,15 +66,14 @@ def _probes(grams: np.ndarray, slots: int, probes: int) -> list[np.ndarray]:
 def learned(docs: DataFrame, sample: int = SAMPLE, n_grams: int = GRAMS, slots: int = SLOTS, probes: int = PROBES) -> Filters:
     """Filters from ``text`` and non-null ``lang``. Of a language with more than ``sample`` documents a share drawn by hash is read."""
     spark = docs.sparkSession
-    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = [tuple(r) for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()]
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not counts:
+    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "lang", "text")
+    counts = written(rows.groupBy("lang").agg(F.count("*").alias("n")), scratch_path(spark, "languages"))
+    many = counts.count()
+    if not many:
         return Filters([], np.zeros((slots, 1), np.uint64), np.zeros(0), np.ones(0))
-    parts = spark.createDataFrame([(c, min(1.0, sample / n)) for c, n in counts], "lang string, share double")
+    parts = counts.select("lang", F.least(F.lit(1.0), sample / F.col("n")).alias("share"))
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < F.col("share") * 1_000_000
-    rows = rows.join(F.broadcast(parts), "lang").where(drawn)
+    rows = rows.join(F.broadcast(parts) if many <= BROADCAST_LANGUAGES else parts, "lang").where(drawn)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = _letters()
@@ -142,8 +143,8 @@ def identified(docs: DataFrame, filters: Filters, probes: int = PROBES) -> DataF
                 scores.append(float(min(1.0, share[best])))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*batch.schema.names, "_lang", "_score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(work, f"{fields}, _lang string, _score double")
+    bounded_batches(docs.sparkSession)
+    return docs.mapInArrow(work, with_fields(docs, _lang="string", _score="double"))
 
 
 def held_out(fold: int = 0, of: int = 5) -> F.Column:
@@ -152,14 +153,20 @@ def held_out(fold: int = 0, of: int = 5) -> F.Column:
 
 
 def predicted(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``held_out``, ``lang_pred``, ``score`` of every row, learned from the rows that are not held out."""
+    """``doc_id``, ``held_out``, ``lang_pred``, ``score`` of every row, learned from the rows that are not held out.
+
+    Rows of null doc_id are held out; repeated rows count as often as they stand; no rows give no rows. Further columns are not read.
+    """
     filters = learned(docs.where(~held_out()))
     found = identified(docs.select("doc_id", "text"), filters)
     return found.select("doc_id", held_out().alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"))
 
 
 def kept(docs: DataFrame, least: float = 0.3) -> DataFrame:
-    """``docs`` without texts of no learned language: those without a letter, and those whose score is below ``least``."""
+    """``docs`` without texts of no learned language: those without a letter, and those whose score is below ``least``.
+
+    Columns as given, whatever their names; repeated rows and rows of null doc_id are judged like others; no rows give no rows.
+    """
     filters = learned(docs.where(~held_out()))
     docs, restored = clear(docs, "_lang", "_score")
     found = identified(docs, filters)

@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casefeatures.llm.frames import bounded_batches
 from casefeatures.llm.words import PIECE, mix
 from casefeatures.sources.files import scratch_path, written
 
@@ -232,6 +233,7 @@ def edit_likeness(docs: DataFrame) -> DataFrame:
     text; the last ones meet the first ones of the next pieces, as many rows as there are pieces.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("_h", F.xxhash64("text"))
     rows = rows.repartitionByRange("doc_id", "_h").sortWithinPartitions("doc_id", "_h", "text").select("doc_id", "text")
     made = written(rows.mapInArrow(_pairs, _OUT), scratch_path(spark, "paired"))

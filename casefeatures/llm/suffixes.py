@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from casefeatures.llm.frames import clear, numbered
+from casefeatures.llm.frames import bounded_batches, clear, numbered
 from casefeatures.llm.words import SPACES, Words, windows, words
 from casefeatures.sources.files import scratch_path, written
 
@@ -151,6 +151,7 @@ def without_repeats(docs: DataFrame, least: int = LEAST, head: int = HEAD) -> Da
     text overlaps them; words that repeat another text go. A text of which nothing but white space is left
     goes; one that had nothing else before stays as it is. ``n_chars``, if there, follows the text."""
     given = docs.schema
+    bounded_batches(docs.sparkSession)
     docs, restored = clear(docs, "id", "cuts")
     docs = numbered(docs)
     found = _stretches(docs, least, head, "own").groupBy("id").agg(F.collect_list(F.struct("first_word", "n_words", "original", "own")).alias("cuts"))

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casefeatures.llm.frames import bounded_batches, with_fields
 from casefeatures.llm.jaccard import sets_of
 from casefeatures.sources.files import scratch_path, written
 
@@ -210,7 +211,8 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar
     odds, g = _evidence(counts["a"].to_numpy(float), counts["b"].to_numpy(float), toxic, other)
     counts = counts.assign(odds=odds, g=g)[(odds >= LEAST_ODDS) & (g >= LEAST_EVIDENCE)]
     stems = dict(listed)
-    for stem, weight in sorted(zip(counts["stem"], np.log(counts["odds"]), strict=True), key=lambda x: (len(x[0]), x[0]))[:MAX_STEMS]:
+    counts = counts.sort_values(["g", "stem"], ascending=[False, True])[:MAX_STEMS]  # those of most evidence
+    for stem, weight in sorted(zip(counts["stem"], np.log(counts["odds"]), strict=True), key=lambda x: (len(x[0]), x[0])):
         if not any(stem[:n] in stems for n in range(min(STEM[0], len(stem)), len(stem) + 1)):
             stems[stem] = float(weight)
     # A longer stem is no evidence of its own where a shorter one stands.
@@ -257,8 +259,8 @@ def scored(docs: DataFrame, grammar: Grammar) -> DataFrame:
             score = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "_score"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(work, f"{fields}, _score double")
+    bounded_batches(docs.sparkSession)
+    return docs.mapInArrow(work, with_fields(docs, _score="double"))
 
 
 def held_out(fold: int = 2, of: int = 4) -> F.Column:
@@ -267,7 +269,11 @@ def held_out(fold: int = 2, of: int = 4) -> F.Column:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score``, ``predicted`` (score of at least 0.3) of every row, learned from labels of rows not held out."""
+    """``doc_id``, ``held_out``, ``score``, ``predicted`` (score of at least 0.3) of every row, learned from labels of rows not held out.
+
+    Null and empty texts have the score of a text without a match; rows of null doc_id are held out; of several labels of a doc_id the largest
+    counts; without labels of both kinds the listed stems and plain coefficients are used; no rows give no rows. Further columns are not read.
+    """
     grammar = learned(docs.where(~held_out()), labels, sample)
     found = scored(docs.select("doc_id", "text"), grammar)
     return found.select("doc_id", held_out().alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= PREDICT).cast("int").alias("predicted"))

@@ -169,3 +169,13 @@ def test_licence_thresholds(spark):
     found = license.thresholds(spark.createDataFrame(rows, "label double, p array<double>"))
     assert found[0] == found[1] == 0.5 and found[2] == pytest.approx(0.98) and found[2] < 0.98 and found[3] == pytest.approx(0.7)
     assert license.thresholds(spark.createDataFrame(rows[:0], "label double, p array<double>")) == [0.5] * n
+
+
+def test_language_with_clashing_and_odd_names(spark):
+    rows = [(i, "the house and that river is good for us" if i % 2 else "der hund und die katze ist mit uns", "en" if i % 2 else "de", "s", 0) for i in range(40)]
+    df = frame(spark, rows).selectExpr("*", "1 AS share", "2 AS n", "'x' AS `a``b`", "3 AS all", "4 AS place")
+    found = {r["doc_id"]: r["lang_pred"] for r in language.predicted(df).collect()}
+    assert found == {i: "en" if i % 2 else "de" for i in range(40)}
+    out = language.kept(df)
+    assert out.columns == df.columns and out.count() == 40
+    assert language.kept(df.limit(0)).collect() == [] and language.predicted(df.limit(0)).collect() == []
