@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,20 +105,26 @@ def _narrowest(field: T.StructField, low, high) -> str | None:
 
 
 def column_ranges(df: DataFrame, fields: Sequence[T.StructField], at_once: int = 100) -> dict[str, tuple]:
-    """Least and greatest value per column, NaN aside; one row per ``at_once`` columns reaches the driver.
+    """Least and greatest value per column, NaN aside, by one job; one row per ``at_once`` columns reaches the driver.
 
-    A wide table is asked in several aggregations, each over its own columns: a columnar file is still
-    read once in all, and the generated code of each stays small.
+    The aggregations of a wide table, each over its own columns, are the branches of one union: a columnar file is read once
+    in all, the generated code of each branch stays small, and the number of jobs does not grow with the columns.
     """
+    parts = [fields[start : start + at_once] for start in range(0, len(fields), at_once)]
+    branches = []
+    for number, part in enumerate(parts):
+        ranges = {}
+        for kind, types, held in (("whole", INTEGER_TYPES, "bigint"), ("real", FLOAT_TYPES, "double")):
+            own = [f for f in part if isinstance(f.dataType, types)]
+            values = [f"CASE WHEN NOT isnan(`{f.name}`) THEN `{f.name}` END" if kind == "real" else f"`{f.name}`" for f in own]
+            pairs = [f"array(CAST(min({v}) AS {held}), CAST(max({v}) AS {held}))" for v in values]
+            ranges[kind] = F.expr(f"CAST(array({', '.join(pairs)}) AS array<array<{held}>>)").alias(kind)
+        branches.append(df.agg(*ranges.values()).select(F.lit(number).alias("part"), *ranges))
     out = {}
-    for start in range(0, len(fields), at_once):
-        part = fields[start : start + at_once]
-        bounds = []
-        for i, f in enumerate(part):
-            c = f"CASE WHEN NOT isnan(`{f.name}`) THEN `{f.name}` END" if isinstance(f.dataType, FLOAT_TYPES) else f"`{f.name}`"
-            bounds += [F.expr(f"min({c}) AS low{i}"), F.expr(f"max({c}) AS high{i}")]
-        row = df.agg(*bounds).first()
-        out |= {f.name: (row[f"low{i}"], row[f"high{i}"]) for i, f in enumerate(part)}
+    for row in reduce(DataFrame.unionByName, branches).collect() if branches else ():
+        for kind, types in (("whole", INTEGER_TYPES), ("real", FLOAT_TYPES)):
+            own = [f for f in parts[row["part"]] if isinstance(f.dataType, types)]
+            out |= {f.name: tuple(r) for f, r in zip(own, row[kind], strict=True)}
     return out
 
 

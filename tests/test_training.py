@@ -1,6 +1,7 @@
 """Weights, folds, areas, and small models end to end."""
 
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +157,17 @@ def test_large_categories_are_numbers(spark):
     features = trees.Features([], {"c": 6}, max_codes=3)
     assert [float(r["features"][0]) for r in trees.model_input(df, features).collect()] == [0.0, 5.0, trees.FILL]
     assert trees.classifier(features, {}, "t", None, 1).getMaxBins() == 32
+
+
+def test_first_trees_are_a_smaller_fit(spark):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.linalg import Vectors
+
+    rng = random.Random(9)
+    rows = [(Vectors.dense([rng.random(), rng.random()]),) for _ in range(300)]
+    df = spark.createDataFrame([(x, float(x[0] + 0.3 * rng.random() > 0.6)) for (x,) in rows], ["features", "label"])
+    gbt = GBTClassifier(maxIter=12, maxDepth=2, seed=3, subsamplingRate=0.7)
+    cut, small = trees.first_trees(gbt.fit(df), 5), gbt.copy({gbt.maxIter: 5}).fit(df)
+    assert cut.getNumTrees == 5 and cut.toDebugString.split("\n", 1)[1] == small.toDebugString.split("\n", 1)[1]
+    a, b = ([r["probability"] for r in m.transform(df).select("probability").collect()] for m in (cut, small))
+    assert a == b and cut.featureImportances == small.featureImportances
