@@ -135,35 +135,42 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     return running_sums(df, keys, order, {name: F.lit(1)}, limit)
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str, split: Split | None = None, limit: int | None = None) -> DataFrame:
-    """Median per key. Of hot keys it comes from counts per distinct value; no hot group is gathered.
+def exact_medians(df: DataFrame, keys: Sequence[str], names: Mapping[str, str], split: Split | None = None, limit: int | None = None) -> DataFrame:
+    """Medians of several columns per key; ``names`` maps a column to the name of its median.
 
-    The counts combine before the shuffle, the middle places are found by a running sum, and the totals that
-    are broadcast are one row per hot key (at most MAX_HOT_KEYS).
+    Those of hot keys come from counts per column and distinct value; no hot group is gathered. The columns are turned into rows,
+    so one count, one running sum (with one checkpoint) and one reduction serve them all. Counts combine before the
+    shuffle; the totals that are broadcast are one row per hot key (at most MAX_HOT_KEYS) and column.
     """
     by = [quoted(k) for k in keys]
     split = split_hot(df, keys, limit=limit) if split is None else split
     out = None
     if split.cold is not None:
-        out = split.cold.groupBy(*by).agg(F.median(quoted(value)).alias(name))
+        out = split.cold.groupBy(*by).agg(*[F.median(quoted(c)).alias(n) for c, n in names.items()])
     if split.hot is not None:
-        counts = split.hot.groupBy(*by, quoted(value)).agg(F.count(quoted(value)).alias("_n"))
-        places = running_sums(counts, keys, [value], {"_upto": F.col("_n")}, limit)
-        totals = F.broadcast(counts.groupBy(*by).agg(F.sum("_n").alias("_total")))
-        if keys:
-            found = places.join(totals, same_keys(places, totals, keys)).drop(*[totals[f"`{k}`"] for k in keys])
-        else:
-            found = places.crossJoin(totals)  # one row of totals
-        low = F.min(F.when(F.col("_upto") >= F.floor((F.col("_total") + 1) / 2), quoted(value)))
-        high = F.min(F.when(F.col("_upto") >= F.floor(F.col("_total") / 2) + 1, quoted(value)))
+        pairs = F.array(*[F.struct(F.lit(i).alias("_column"), quoted(c).cast("double").alias("_value")) for i, c in enumerate(names)])
+        both = [*keys, "_column"]
+        counts = split.hot.select(*by, F.inline(pairs)).groupBy(*by, "_column", "_value").agg(F.count("_value").alias("_n"))
+        places = running_sums(counts, both, ["_value"], {"_upto": F.col("_n")}, limit)
+        totals = F.broadcast(counts.groupBy(*by, "_column").agg(F.sum("_n").alias("_total")))
+        found = places.join(totals, same_keys(places, totals, both)).drop(*[totals[f"`{k}`"] for k in both])
+        reduced = []
+        for i in range(len(names)):
+            own = F.col("_column") == i
+            reduced.append(F.min(F.when(own & (F.col("_upto") >= F.floor((F.col("_total") + 1) / 2)), F.col("_value"))).alias(f"_low{i}"))
+            reduced.append(F.min(F.when(own & (F.col("_upto") >= F.floor(F.col("_total") / 2) + 1), F.col("_value"))).alias(f"_high{i}"))
         # The formula of Spark's own median, so that a group's size does not show in the last digit.
-        hot = found.groupBy(*by).agg(low.alias("_low"), high.alias("_high"))
-        middle = F.when(F.col("_low") == F.col("_high"), F.col("_low").cast("double")).otherwise(0.5 * F.col("_low") + 0.5 * F.col("_high"))
-        hot = hot.select(*by, middle.alias(name))
+        middle = [F.when(F.col(f"_low{i}") == F.col(f"_high{i}"), F.col(f"_low{i}")).otherwise(0.5 * F.col(f"_low{i}") + 0.5 * F.col(f"_high{i}")) for i in range(len(names))]
+        hot = found.groupBy(*by).agg(*reduced).select(*by, *[m.alias(n) for m, n in zip(middle, names.values(), strict=True)])
         out = hot if out is None else out.unionByName(hot)
     return out
 
 
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str, split: Split | None = None, limit: int | None = None) -> DataFrame:
+    """Median of one column per key, see ``exact_medians``."""
+    return exact_medians(df, keys, {value: name}, split, limit)
+
+
 def exact_mode(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Most frequent non-null value per key, the smallest on ties, from counts per distinct value."""
     by = [quoted(k) for k in keys]

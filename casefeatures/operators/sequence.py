@@ -8,6 +8,7 @@ rows so far (running counts) and the whole group (totals). Hot groups get the sa
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,10 +17,9 @@ from casefeatures.functions.schema import quoted
 from casefeatures.operators.hotgroups import (
     PIECE,
     Split,
-    exact_median,
+    exact_medians,
     in_pieces,
     join_pieces,
-    same_keys,
     split_hot,
 )
 
@@ -136,10 +136,13 @@ def group_features(
     if split.hot is None:
         return marked.groupBy(*by).agg(*reduced, *[F.median(c).alias(n) for c, n in medians])
     out = marked.groupBy(*by).agg(*reduced) if reduced else df.select(*by).distinct()
-    for c, n in medians:
-        values = Split(*[d.select(*by, c.alias("_value")) for d in (split.cold, split.hot)], split.hot_rows, split.limit)
-        part = exact_median(df, keys, "_value", n, values, limit)
-        out = out.join(part, same_keys(out, part, keys), "left").drop(*[part[f"`{k}`"] for k in keys])
+    if medians:
+        columns = [c.alias(f"_value{i}") for i, (c, _) in enumerate(medians)]
+        values = Split(*[None if d is None else d.select(*by, *columns) for d in (split.cold, split.hot)], split.hot_rows, split.limit)
+        part = exact_medians(df, keys, {f"_value{i}": n for i, (_, n) in enumerate(medians)}, values, limit)
+        part = part.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+        on = reduce(lambda a, b: a & b, [quoted(k).eqNullSafe(quoted(f"_of_{k}")) for k in keys])
+        out = out.join(part, on, "left").drop(*[f"_of_{k}" for k in keys])
     return out
 
 

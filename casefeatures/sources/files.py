@@ -116,21 +116,62 @@ def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def part_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """Paths grouped by the schema in their footers, which tasks read; the driver gets the groups, in the order of their first paths.
+
+    A folder counts by its first data file, as Spark reads it. What a task cannot tell (a folder of folders, a file system
+    it has no access to, a damaged file) is a group of its own, and left to Spark.
+    """
+
+    def mark_of(path):
+        import hashlib
+        from urllib.parse import unquote, urlparse
+
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        try:
+            url = urlparse(path)
+            store, place = (fs.LocalFileSystem(), unquote(url.path) if url.scheme else path) if url.scheme in ("", "file") else fs.FileSystem.from_uri(path)
+            if store.get_file_info(place).type == fs.FileType.Directory:
+                inside = [i for i in store.get_file_info(fs.FileSelector(place)) if not i.base_name.startswith(("_", "."))]
+                if not inside or any(i.type == fs.FileType.Directory for i in inside):
+                    return None
+                place = min(i.path for i in inside)
+            with store.open_input_file(place) as file:
+                schema = pq.read_schema(file)
+        except Exception:  # noqa: BLE001 - Spark's own reader reports what is wrong with the part
+            return None
+        noted = (schema.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"")
+        text = schema.remove_metadata().to_string(truncate_metadata=False, show_field_metadata=False)
+        return hashlib.sha256(text.encode() + b"\0" + noted).hexdigest()
+
+    def marks(batches):
+        for batch in batches:
+            yield batch.assign(mark=[mark_of(p) for p in batch["path"]])
+
+    listed = spark.createDataFrame(list(enumerate(paths)), "place long, path string")
+    seen = listed.mapInPandas(marks, "place long, path string, mark string")
+    apart = F.coalesce("mark", F.concat(F.lit("part "), F.col("place")))
+    groups = seen.groupBy(apart.alias("mark")).agg(F.sort_array(F.collect_list("place")).alias("places"))
+    return [[paths[i] for i in places] for places in sorted(r["places"] for r in groups.collect())]
+
+
 def scan_parts(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
     """All parts of a table stacked, each column in a type common to the parts.
 
-    Parts of one schema are read by one scan, so the plan grows with the number of different
-    schemas and not with the number of parts. A part may be a file or a folder of files.
+    The footers are read in tasks by one job. Parts of one schema are then read by one scan, so jobs and plan grow with the
+    number of different schemas and not with the number of parts. A part may be a file or a folder of files.
     """
     paths = expand(spark, paths) if isinstance(paths, str) else list(paths)
     if not paths:
         raise FileNotFoundError("no part matches")
     by_schema: dict[str, list[str]] = {}
     schemas: dict[str, T.StructType] = {}
-    for p in paths:
-        schema = spark.read.parquet(p).schema
+    for group in part_groups(spark, paths) if len(paths) > 1 else [paths]:
+        schema = spark.read.parquet(group[0]).schema
         schemas[schema.json()] = schema
-        by_schema.setdefault(schema.json(), []).append(p)
+        by_schema.setdefault(schema.json(), []).extend(group)
     wanted: dict[str, T.DataType] = {}
     for schema in schemas.values():
         for f in schema.fields:

@@ -70,3 +70,67 @@ def test_index(spark, train, rows):
 def test_share(lookup):
     got = {r["category"]: r["share"] for r in E.frequency_share(lookup).collect()}
     assert got["a"] == pytest.approx(2 / 7) and sum(got.values()) == pytest.approx(1)
+
+
+def spread(df):
+    """Rows per task of the last shuffle, largest first; tasks without rows count."""
+    spark = df.sparkSession
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    return sorted(sizes, reverse=True)
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_a_hot_category_of_a_large_lookup_is_spread(spark, monkeypatch, known):
+    """A third of all rows hold one category, which the lookup may not even know; nothing says that it is frequent."""
+    monkeypatch.setattr(E, "MAX_BROADCAST_CATEGORIES", 1)
+    lookup = spark.range(20_000).select(F.lit("c").alias("column"), F.concat(F.lit("v"), "id").alias("category"), F.col("id").cast("double").alias("value"))
+    hot = "v7" if known else "elsewhere"
+    df = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, hot).otherwise(F.concat(F.lit("v"), F.col("id") % 19_000)).alias("c"))
+    out = E.encode(df, lookup, [E.valued("c", "number", default=-1)])
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = spread(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert sum(sizes) == 30_000 and len(sizes) == 8 and sizes[0] <= 2 * sizes[4]
+    want = {r["id"]: -1.0 if r["c"] == "elsewhere" else float(r["c"][1:]) for r in df.collect()}
+    assert {r["id"]: r["number"] for r in out.collect()} == want
+
+
+def test_frequent_values_are_found_whatever_was_fitted(spark):
+    df = spark.range(40_000).select(F.when(F.col("id") % 500 == 0, "often").when(F.col("id") % 4 == 0, None).otherwise(F.col("id").cast("string")).alias("c"))
+    found = {r["item"] for r in E.frequent_categories(df, {0: E.valued("c", "n")}).select(F.inline("_frequent0")).collect()}
+    assert "often" in found and len(found) <= 2 * E.HOT_SHARE
+
+
+def test_lookups_share_one_budget_of_broadcasts():
+    mb = 1024 * 1024
+    sizes = {f"c{i}": (1000, 60 * mb) for i in range(18)} | {"few": (5, 300), "wide": (5, 65 * mb), "many": (500_001, mb)}
+    wanted = [*sizes]
+    chosen = [wanted[i] for i in sorted(E._broadcast_lookups(sizes, wanted))]
+    assert "few" in chosen and "wide" not in chosen and "many" not in chosen
+    assert len(chosen) == 5 and sum(sizes[c][1] for c in chosen) <= E.MAX_BROADCAST_TOTAL
+
+
+def test_lookups_beyond_the_budget_are_joined_all_the_same(spark, rows, lookup, monkeypatch):
+    both = lookup.unionByName(lookup.withColumn("column", F.lit("d")))
+    df = rows.withColumn("d", F.col("c"))
+    cats = [E.fitted("c"), E.fitted("d")]
+    want = {r["k"]: list(r) for r in E.encode(df, both, cats).collect()}
+    monkeypatch.setattr(E, "MAX_BROADCAST_TOTAL", sum(s for _, s in E.lookup_sizes(lookup).values()))
+    got = E.encode(df, both, cats)
+    assert {r["k"]: list(r) for r in got.collect()} == want
+
+
+def test_large_lookups_of_no_rows(spark, lookup, monkeypatch):
+    monkeypatch.setattr(E, "MAX_BROADCAST_CATEGORIES", 0)
+    empty = spark.createDataFrame([], "k int, c string")
+    assert E.encode(empty, lookup, [E.fitted("c")]).count() == 0
+    nulls = spark.createDataFrame([(1, None), (2, None)], "k int, c string")
+    assert {r["k"]: r["c_encoded"] for r in E.encode(nulls, lookup, [E.fitted("c")]).collect()} == {1: None, 2: None}

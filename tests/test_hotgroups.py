@@ -119,3 +119,18 @@ def test_null_key_is_a_group(spark, rows_per_task):
 def test_peak_places_of_ties(spark):
     df = spark.createDataFrame([(1, 0, -1.0), (1, 1, 5.0), (1, 2, 5.0), (2, 0, 0.0), (3, 0, None)], "k long, o int, v double")
     assert {r["k"]: r["v_maxidx"] for r in peak_places(df, ["k"], ["o"], ["v"]).collect()} == {1: 0, 2: None, 3: None}
+
+
+def test_medians_of_many_columns_at_once(spark, rows_per_task, monkeypatch):
+    """Counts, places and medians of all columns come from one table: one checkpoint, whatever the number of columns."""
+    rows = [(k, i, float((i * 37) % 11), (i * 5) % 7 if i % 4 else None, None if k else i) for k, n in ((0, 90), (1, 61), (2, 4)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k long, o int, a double, b int, c long")
+    medians = [(F.col("a"), "ma"), (F.when(F.col("b") > 2, F.col("b")), "mb"), (F.col("c"), "mc")]
+    want = {r["k"]: list(r) for r in group_features(df, ["k"], ["o"], [F.count("*").alias("n")], medians=medians).collect()}
+    rows_per_task(20)
+    made = []
+    monkeypatch.setattr(H, "checkpointed", lambda d, f=H.checkpointed: made.append(1) or f(d))
+    got = group_features(df, ["k"], ["o"], [F.count("*").alias("n")], medians=medians)
+    assert {r["k"]: list(r) for r in got.collect()} == want
+    assert len(made) <= 1
+    assert want[1][4] is None and want[0][4] == 44.5

@@ -2,6 +2,8 @@
 
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,3 +71,50 @@ def test_numbers_of_unequal_type_stay_numbers():
     assert files.common_type(d, wide) == wide and files.common_type(T.DecimalType(38, 0), T.DecimalType(38, 20)) == T.DoubleType()
     assert files.common_type(T.BooleanType(), T.IntegerType()) == T.IntegerType() and files.common_type(d, T.BooleanType()) == d
     assert files.common_type(T.BooleanType(), T.StringType()) == T.StringType()
+
+
+def write_parts(folder, n, schemas=2):
+    folder.mkdir()
+    for i in range(n):
+        odd = i % schemas == 1
+        pq.write_table(pa.table({"k": pa.array([i], pa.int64()), "v": pa.array([i / 2 if odd else i], pa.float64() if odd else pa.int32())}), folder / f"t_{i:05d}.parquet")
+    return str(folder / "t_*.parquet")
+
+
+def jobs(spark, name, work):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        out = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_jobs_do_not_grow_with_parts(spark, tmp_path):
+    few, many = write_parts(tmp_path / "few", 100), write_parts(tmp_path / "many", 2000)
+    _, least = jobs(spark, "few parts", lambda: files.scan_parts(spark, few))
+    out, most = jobs(spark, "many parts", lambda: files.scan_parts(spark, many))
+    assert most == least <= 8
+    row = out.agg(F.count("*"), F.sum("k"), F.sum("v")).first()
+    assert out.schema["v"].dataType == T.DoubleType()
+    assert list(row) == [2000, 1999 * 1000, sum(i / 2 if i % 2 else i for i in range(2000))]
+
+
+def test_folders_are_parts(spark, tmp_path):
+    spark.createDataFrame([(1, 1), (2, 2)], "k int, v int").repartition(2).write.parquet(str(tmp_path / "f_1.parquet"))
+    spark.createDataFrame([(3, 2.5)], "k int, v double").write.parquet(str(tmp_path / "f_2.parquet"))
+    spark.createDataFrame([(4, 4, "x")], "k int, v int, week string").write.partitionBy("week").parquet(str(tmp_path / "f_3.parquet"))
+    out = files.scan_parts(spark, str(tmp_path / "f_*.parquet"))
+    assert sorted(tuple(r) for r in out.select("k", "v", "week").collect()) == [(1, 1.0, None), (2, 2.0, None), (3, 2.5, None), (4, 4.0, "x")]
+    spaced = tmp_path / "with space"
+    spark.createDataFrame([(5,)], "k int").write.parquet(str(spaced / "a.parquet"))
+    spark.createDataFrame([(6,)], "k int").write.parquet(str(spaced / "b.parquet"))
+    paths = files.expand(spark, str(spaced / "*.parquet"))
+    assert len(files.part_groups(spark, paths)) == 1 and files.scan_parts(spark, paths).count() == 2
+
+
+def test_a_damaged_part_is_named_by_the_reader(spark, tmp_path):
+    (tmp_path / "d_1.parquet").write_bytes(b"no parquet at all")
+    spark.createDataFrame([(1,)], "k int").write.parquet(str(tmp_path / "d_2.parquet"))
+    with pytest.raises(Exception, match="d_1.parquet"):
+        files.scan_parts(spark, str(tmp_path / "d_*.parquet")).collect()

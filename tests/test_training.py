@@ -27,6 +27,18 @@ def test_class_weights(weeks):
     assert weights.class_weight_by_group(weeks).count() == weeks.count()
 
 
+def test_class_weights_of_many_groups(spark, rows_per_task, monkeypatch):
+    """Too many groups to broadcast and one that holds a third of the rows: the same weights, with the hot group joined apart."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 40).alias("WEEK_NUM"), (F.pmod(F.xxhash64("id"), F.lit(5)) == 0).cast("int").alias("target"))
+    df = df.withColumn("target", F.when(F.rand(1) > 2, None).otherwise(F.col("target")))
+    want = sorted(map(tuple, weights.class_weight_by_group(df).collect()))
+    monkeypatch.setattr(weights, "MAX_BROADCAST_GROUPS", 3)
+    rows_per_task(500)
+    out = weights.class_weight_by_group(df)
+    assert sorted(map(tuple, out.select("WEEK_NUM", "target", "weights").collect())) == want
+    assert "Union" in out._jdf.queryExecution().executedPlan().toString()
+
+
 def check_folds(out, n, folds, largest):
     assert out.filter(F.col("fold").isNull()).count() == 0 and out.count() == n
     assert out.groupBy("WEEK_NUM").agg(F.countDistinct("fold").alias("n")).filter("n <> 1").count() == 0
