@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import SparkContext
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -16,8 +18,8 @@ from pyspark.sql import functions as F
 
 from casefeatures.functions.rows import nan_to_null
 from casefeatures.functions.schema import quoted
-from casefeatures.sources.files import checkpointed, scratch_path
-from casefeatures.training.scores import auc, cv_summary, weighted_auc
+from casefeatures.sources.files import checkpointed, expand, scratch_path
+from casefeatures.training.scores import auc, weighted_auc
 
 # Spark's trees take no nulls: they get a value below any real one, next to a flag.
 FILL = -1e9
@@ -29,6 +31,7 @@ SEARCH_PARAMS = {"maxIter": 2500, "stepSize": 0.04}
 PATIENCE, FIRST_FIT = 100, 100
 # Categories of more codes than this are read as ordered numbers: every feature's histograms are as wide as the largest category.
 MAX_CODES = 1024
+_SCORES = "trial int, params map<string,string>, fold int, auc double"
 SEARCH_RANGES = {"maxDepth": (3, 20), "featureSubsetStrategy": (0.5, 1.0), "subsamplingRate": (0.5, 1.0)}
 
 
@@ -130,12 +133,12 @@ def train_boosted_trees(
     ready = model_input(data, features).withColumn(target, F.col(target).cast("double"))
     kept = [c for c in (target, weight, fold, "features") if c]
     ready = ready.where(F.col(weight).isNotNull()) if weight else ready
-    return _fitted(checkpointed(ready.select(*kept)), features, params, fold, folds, target, weight, seed, patience)
+    return _fitted(checkpointed(ready.select(*kept)), features, params, fold, range(folds), target, weight, seed, patience)
 
 
-def _fitted(ready: DataFrame, features: Features, params: Mapping, fold: str, folds: int, target: str, weight: str | None, seed: int, patience: int) -> dict[int, PipelineModel]:
+def _fitted(ready: DataFrame, features: Features, params: Mapping, fold: str, folds: Iterable[int], target: str, weight: str | None, seed: int, patience: int) -> dict[int, PipelineModel]:
     models = {}
-    for k in range(folds):
+    for k in folds:
         held_out = ready.where(F.col(fold) == k)
         rows = ready.where(F.col(fold) != k)
         gbt = classifier(features, params, target, weight, seed)
@@ -190,22 +193,63 @@ def param_search(
     weight: str | None = "weights",
     seed: int = 42,
     patience: int = PATIENCE,
+    at_once: int = 4,
+    folder: str | None = None,
+    keep: float = 1.0,
 ) -> DataFrame:
-    """Mean fold score (without weights) of every draw, best first. One row per draw. The input is computed once for all draws."""
+    """Mean fold score (without weights) of every draw, best first. One row per draw. The input is computed once for all draws.
+
+    ``at_once`` trials run at a time, as jobs in pools of their own (they share the cluster evenly if the session schedules fairly). The
+    scores of a trial are written to ``folder`` when it ends, and a search that finds them there, with the same parameters,
+    takes them as they are: a driver that was lost goes on where it stopped. One folder belongs to one search over one input. With
+    ``keep`` below 1 all draws are fitted for fold 0 first, and only that share of them, the best, for the other folds; the
+    others have no mean score and come last.
+    """
     data = checkpointed(data)
+    spark = data.sparkSession
     ready = model_input(data, features).withColumn(target, F.col(target).cast("double"))
     ready = ready.where(F.col(weight).isNotNull()) if weight else ready
     ready = checkpointed(ready.select(*[c for c in (target, weight, fold, "features") if c]))
+    words = [{k: str(v) for k, v in params.items()} for params in draws]
+    scores = _stored_scores(spark, folder, words) if folder else {}
+
+    def trial(i: int, wanted: Sequence[int]) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"trial-{i}")
+        models = _fitted(ready, features, draws[i], fold, wanted, target, weight, seed, patience)
+        found = {r[fold]: r["auc"] for r in fold_scores(predict_held_out(models, data, features, fold), target, None, fold).collect()}
+        own = [(i, words[i], k, found.get(k)) for k in wanted]
+        if folder:
+            table = spark.createDataFrame(own, _SCORES).coalesce(1)
+            table.write.mode("overwrite").parquet(f"{folder}/trial-{i}-{'-'.join(map(str, wanted))}")
+        scores.update({(i, k): score for _, _, k, score in own})
+
+    def rung(chosen: Iterable[int], of: Sequence[int]) -> None:
+        open_folds = {i: [k for k in of if (i, k) not in scores] for i in chosen}
+        with ThreadPoolExecutor(at_once) as pool:
+            for done in [pool.submit(inheritable_thread_target(spark)(trial), i, ks) for i, ks in open_folds.items() if ks]:
+                done.result()
+
+    chosen = list(range(len(draws)))
+    if keep < 1:
+        rung(chosen, [0])
+        first = {i: -1.0 if scores[i, 0] is None else scores[i, 0] for i in chosen}
+        chosen = sorted(chosen, key=lambda i: (-first[i], i))[: max(1, math.ceil(keep * len(draws)))]
+    rung(chosen, range(folds))
     rows = []
-    for i, params in enumerate(draws):
-        models = _fitted(ready, features, params, fold, folds, target, weight, seed, patience)
-        scored = predict_held_out(models, data, features, fold)
-        best = cv_summary(fold_scores(scored, target, None, fold)).first()
-        rows.append((i, {k: str(v) for k, v in params.items()}, best["mean_score"]))
-    found = data.sparkSession.createDataFrame(rows, "trial int, params map<string,string>, mean_score double")
+    for i in range(len(draws)):
+        own = [scores[i, k] for k in range(folds) if scores.get((i, k)) is not None] if i in chosen else []
+        rows.append((i, words[i], sum(own) / len(own) if own else None))
+    found = spark.createDataFrame(rows, "trial int, params map<string,string>, mean_score double")
     return found.orderBy(F.col("mean_score").desc_nulls_last(), "trial")
 
 
+def _stored_scores(spark: SparkSession, folder: str, words: Sequence[Mapping[str, str]]) -> dict[tuple[int, int], float | None]:
+    """Scores by trial and fold that earlier runs wrote whole; at most one row per draw and fold."""
+    whole = [p.rsplit("/", 1)[0] for p in expand(spark, f"{folder}/trial-*/_SUCCESS")]
+    rows = spark.read.schema(_SCORES).parquet(*whole).collect() if whole else []
+    return {(r["trial"], r["fold"]): r["auc"] for r in rows if r["trial"] < len(words) and r["params"] == words[r["trial"]]}
+
+
 def feature_importance(spark: SparkSession, models: PipelineModel | Mapping[int, PipelineModel], features: Features) -> DataFrame:
     """Per feature: how many splits in the trees of all models use it, and its mean gain share. One row per feature.
 

@@ -183,3 +183,54 @@ def test_first_trees_are_a_smaller_fit(spark):
     assert cut.getNumTrees == 5 and cut.toDebugString.split("\n", 1)[1] == small.toDebugString.split("\n", 1)[1]
     a, b = ([r["probability"] for r in m.transform(df).select("probability").collect()] for m in (cut, small))
     assert a == b and cut.featureImportances == small.featureImportances
+
+
+@pytest.fixture(scope="module")
+def searched(spark):
+    df = spark.range(600).select(F.col("id").alias("case_id"), (F.col("id") % 2).cast("int").alias("fold"), (F.pmod(F.xxhash64("id"), F.lit(1000)) / 10).alias("x"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)) / 10).alias("y"))
+    data = df.withColumn("target", (F.col("x") + F.col("y") > 100).cast("int")).cache()
+    draws = [{"maxDepth": d, "maxIter": 3, "stepSize": 0.3} for d in (1, 3, 2)]
+    return data, trees.Features(["x", "y"], flag_nulls=False), draws
+
+
+def ranked(found):
+    return [(r["trial"], r["mean_score"]) for r in found.collect()]
+
+
+def test_trials_at_a_time_give_what_one_after_the_other_gives(searched):
+    data, features, draws = searched
+    one = ranked(trees.param_search(data, features, draws, folds=2, weight=None, at_once=1))
+    assert len({s for _, s in one}) > 1 and one == ranked(trees.param_search(data, features, draws, folds=2, weight=None, at_once=3))
+
+
+def test_a_search_goes_on_where_it_stopped(spark, searched, tmp_path, monkeypatch):
+    data, features, draws = searched
+    folder, fitted = str(tmp_path / "search"), []
+    real = trees._fitted
+
+    def fit(ready, features, params, fold, wanted, *rest):
+        if len(fitted) == 1:
+            raise RuntimeError("driver lost")
+        fitted.append((params["maxDepth"], tuple(wanted)))
+        return real(ready, features, params, fold, wanted, *rest)
+
+    monkeypatch.setattr(trees, "_fitted", fit)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        trees.param_search(data, features, draws, folds=2, weight=None, at_once=1, folder=folder)
+    monkeypatch.setattr(trees, "_fitted", lambda *a: fitted.append((a[2]["maxDepth"], tuple(a[4]))) or real(*a))
+    got = ranked(trees.param_search(data, features, draws, folds=2, weight=None, folder=folder))
+    assert sorted(d for d, _ in fitted) == [1, 2, 3]  # the finished trial is not fitted again
+    assert got == ranked(trees.param_search(data, features, draws, folds=2, weight=None))
+    fitted.clear()
+    other = [{**draws[0], "maxDepth": 4}, *draws[1:]]
+    trees.param_search(data, features, other, folds=2, weight=None, folder=folder)
+    assert [d for d, _ in fitted] == [4]  # other parameters are another trial
+
+
+def test_losers_of_the_first_fold_are_left(searched):
+    data, features, draws = searched
+    whole = dict(ranked(trees.param_search(data, features, draws, folds=2, weight=None)))
+    got = ranked(trees.param_search(data, features, draws, folds=2, weight=None, keep=0.5))
+    first = {i: trees.fold_scores(trees.predict_held_out(trees.train_boosted_trees(data, features, p, folds=1, weight=None), data, features), weight=None).first()["auc"] for i, p in enumerate(draws)}
+    worst = min(first, key=lambda i: (first[i], -i))
+    assert got[2] == (worst, None) and dict(got[:2]) == {i: s for i, s in whole.items() if i != worst}
