@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from casefeatures.checks.casetables import LINE_NUMBER, case_sql
 from casefeatures.checks.queries import PRIORITY_DAYS, PRIORITY_RANKS
-from casefeatures.checks.specsql import encoded_oracle, spec_oracle
+from casefeatures.checks.specsql import encoded_oracle, job_oracle, spec_oracle
 from casefeatures.plans.tables import SPECS
 
 ORACLES: dict[str, str] = {}
@@ -433,6 +433,7 @@ oracle(
 for _name in SPECS:
     ORACLES.setdefault(f"table_{_name}", spec_oracle(_name))
 ORACLES["encode_table"] = encoded_oracle("credit_bureau_b_1")
+ORACLES["assemble_features"] = job_oracle()
 oracle("prune_features", "SELECT o_orderkey, CAST(o_orderkey % 5 AS INTEGER) AS c_encoded_last FROM orders")
 
 # --- training ----------------------------------------------------------------------------------

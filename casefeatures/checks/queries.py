@@ -816,7 +816,15 @@ def encode_table(spark, d):
 def assemble_features(spark, d):
     tables = casetables.case_tables(spark, d)
     keep = assemble.stored_under(files.scratch_path(spark, "rollups"))
-    return assemble.assemble_features(tables, "train", keep=keep)
+    return _narrowed(assemble.assemble_features(tables, "train", keep=keep, narrow=False))
+
+
+def _narrowed(df: DataFrame) -> DataFrame:
+    """A stored table with its doubles cut to four decimals and all numbers narrowed, shown as doubles."""
+    real = {f.name for f in df.schema.fields if isinstance(f.dataType, S.FLOAT_TYPES)}
+    out = S.narrow_types(df.selectExpr(*[f"floor(`{n}` * 10000 + 0.37D) / 10000 AS `{n}`" if n in real else f"`{n}`" for n in df.columns]))
+    numbers = {f.name for f in out.schema.fields if isinstance(f.dataType, (*S.NUMERIC_TYPES, T.BooleanType))} - {"case_id"}
+    return out.selectExpr(*[f"CAST(`{n}` AS DOUBLE) AS `{n}`" if n in numbers else f"`{n}`" for n in out.columns])
 
 
 @query

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from casefeatures.checks.casetables import case_sql, kind_of, raw_columns
 from casefeatures.plans.spec import NO_SEQUENCE, TableSpec
-from casefeatures.plans.tables import GIVEN, INDEXED, SPECS
+from casefeatures.plans.tables import DROPPED_ENDINGS, GIVEN, INDEXED, JOIN_ORDER, ONE_VALUE_COLUMNS, PLACE_COLUMNS, SPECS
 
 KEYS = {1: "case_id", 2: "case_id, num_group1"}
 ORDER = {1: "num_group1", 2: "num_group2"}
@@ -40,8 +40,11 @@ def nth(x: str, o: str, place: int, cond: str = "TRUE") -> str:
     return f"(list({x} ORDER BY {o}) FILTER (WHERE {cond}))[{place}]"
 
 
-def rows_sql(spec: TableSpec) -> tuple[list[str], dict[str, str]]:
-    """Named subqueries up to ``e_name``, the encoded rows, and the kinds of its columns."""
+def rows_sql(spec: TableSpec, lookups: str = "") -> tuple[list[str], dict[str, str]]:
+    """Named subqueries up to ``e_name``, the encoded rows, and the kinds of its columns.
+
+    Categories meet the lookups of this table, or those named ``k_lookups`` and ``v_lookups``.
+    """
     n = spec.name
     kinds = {"case_id": "key"} | ({"num_group1": "key"} if spec.depth else {}) | ({"num_group2": "key"} if spec.depth == 2 else {})
     kinds |= {c: "word" if c.endswith(("M", "T")) else kind_of(spec, c) for c in raw_columns(spec)}
@@ -89,7 +92,7 @@ def rows_sql(spec: TableSpec) -> tuple[list[str], dict[str, str]]:
     joins, shown, replaced = "", [], set()
     for i, cat in enumerate(spec.categories):
         source = "v" if cat.kinds[0][0] == "value" else "k"
-        joins += f" LEFT JOIN {source}_{n} j{i} ON j{i}.col = '{cat.lookup}' AND j{i}.category = {word(cat, 't.')}"
+        joins += f" LEFT JOIN {source}_{lookups or n} j{i} ON j{i}.col = '{cat.lookup}' AND j{i}.category = {word(cat, 't.')}"
         for kind, name in cat.kinds:
             x = f"j{i}.{kind}"
             shown.append(f"{x if cat.default is None else f'coalesce({x}, {cat.default})'} AS {q(name)}")
@@ -129,6 +132,15 @@ def aggs_sql(spec: TableSpec, kinds: dict[str, str]) -> dict[str, tuple[str, str
         number(f"num_{c}", f"count(nullif({q(c)}, 'a55475b1'))")
     for c in spec.counts_positive:
         number(f"num_{c}", f"count(*) FILTER (WHERE {n(c)} > 0)")
+    for c in spec.counts_zero:
+        number(f"num_{c}_zero", f"count(*) FILTER (WHERE {n(c)} = 0)")
+    for name, (a, b) in spec.counts_both.items():
+        number(name, f"count(*) FILTER (WHERE {q(a)} IS NOT NULL AND {n(b)} > 0)")
+    for name, (kind, c, known) in spec.where.items():
+        if kind == "sum":
+            number(name, f"coalesce(sum(CASE WHEN {q(known)} IS NOT NULL THEN {n(c)} ELSE 0 END), 0)")
+        else:
+            out[name] = (f"{kind}({q(c)}) FILTER (WHERE {q(known)} IS NOT NULL)", "date" if kinds[c] == "date" else "num")
     for name, (c, bound) in spec.counts_above.items():
         number(name, f"count(*) FILTER (WHERE {n(c)} > {bound})")
     for c, names in spec.counts_of.items():
@@ -221,15 +233,15 @@ def aggs_sql(spec: TableSpec, kinds: dict[str, str]) -> dict[str, tuple[str, str
     return out
 
 
-def table_sql(spec: TableSpec) -> tuple[list[str], dict[str, str]]:
+def table_sql(spec: TableSpec, lookups: str = "") -> tuple[list[str], dict[str, str]]:
     """Named subqueries up to ``g_name``, the rolled-up table before rounding, and the kinds of its columns."""
     n = spec.name
-    ctes, kinds = rows_sql(spec)
+    ctes, kinds = rows_sql(spec, lookups)
     if spec.depth == 0:
         return [*ctes, f"g_{n} AS (SELECT * FROM e_{n})"], kinds
     source = f"e_{n}"
     if spec.child:
-        below, child = table_sql(SPECS[spec.child])
+        below, child = table_sql(SPECS[spec.child], lookups)
         ctes = below + ctes + [f"x_{n} AS (SELECT * FROM e_{n} LEFT JOIN g_{spec.child} USING (case_id, num_group1))"]
         kinds |= {c: k for c, k in child.items() if k != "key"}
         source = f"x_{n}"
@@ -306,3 +318,47 @@ def encoded_oracle(name: str) -> str:
     ctes, kinds = rows_sql(SPECS[name])
     shown = [f"{f4(q(c)) if k in ('num', 'bool') else q(c)} AS {q(c)}" for c, k in kinds.items()]
     return f"WITH {', '.join(ctes)} SELECT {', '.join(shown)} FROM e_{name}"
+
+
+def job_oracle() -> str:
+    """The whole job on training data: lookups of all tables together, every roll-up joined to the base, dates as days before the decision.
+
+    Numbers are cut to four decimals and then held as narrowly as the job holds them (4 bytes).
+    """
+    ctes, wide = [], {}
+    shown, joins = [], ""
+    for name in JOIN_ORDER:
+        made: dict[str, str] = {}
+        more, kinds = table_sql(SPECS[name], "all")
+        if name == "person_1":
+            made, kinds = person_result(kinds)
+        ctes += more
+        # What follows from a roll-up's columns is read from that table alone.
+        ctes.append(f"w_{name} AS (SELECT {', '.join(f'{made.get(c, q(c))} AS {q(c)}' for c in kinds)} FROM g_{name})")
+        joins += f" JOIN w_{name} USING (case_id)"
+        for c, k in kinds.items():
+            if c == "case_id":
+                continue
+            free = c if c not in wide else f"{c}_right"
+            wide[free] = k
+            shown.append((free, f"w_{name}.{q(c)}"))
+    # Lookups are fitted on the rows as they come, so they go before whatever is encoded with them.
+    fitting = [x for x in ctes if x.split("_", 1)[0] in ("r", "t", "b", "k", "v")]
+    lookups = [
+        f"{kind}_all AS ({' UNION '.join(f'SELECT * FROM {x.split(maxsplit=1)[0]}' for x in fitting if x.startswith(f'{kind}_'))})" for kind in ("k", "v")
+    ]
+    rest = [x for x in ctes if x not in fitting]
+    out = ["b.case_id", f'{f4("b.WEEK_NUM")} AS "WEEK_NUM"', f'{f4("b.MONTH")} AS "MONTH"', f'{f4("b.target")} AS target']
+    ref = "CAST(b.date_decision AS DATE)"
+    narrow = "CAST(CAST({x} AS FLOAT) AS DOUBLE)"
+    out += [f"{narrow.format(x=f4(f'{part}({ref})'))} AS date_decision_{name}" for part, name in (("isodow", "weekday"), ("month", "month"), ("quarter", "quarter"), ("week", "week"))]
+    gone = {*PLACE_COLUMNS, *ONE_VALUE_COLUMNS}
+    for c, x in shown:
+        if c in gone or c.endswith(DROPPED_ENDINGS):
+            continue
+        k = wide[c]
+        if k == "date":
+            out.append(f"{narrow.format(x=f4(f'{ref} - {x}'))} AS {q(c)}")
+        else:
+            out.append(f"{narrow.format(x=f4(x)) if k in ('num', 'bool') else x} AS {q(c)}")
+    return f"WITH {', '.join([*fitting, *lookups, *rest])} SELECT {', '.join(out)} FROM ({case_sql('base')}) b{joins}"

@@ -27,7 +27,7 @@ def load_tables(spark, path: str, kind: str) -> dict[str, DataFrame]:
 def fit_lookups(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One long lookup table for all encoded columns: fitted, given and numbered ones.
 
-    The result is pinned in the shared folder, for it is read once per encoded column.
+    The result is pinned in the shared folder, for it is read once per encoded column. Without a fitted category it holds the others.
     """
     base, fit, more = tables["base"], None, None
     for name, spec in K.SPECS.items():
@@ -38,6 +38,8 @@ def fit_lookups(tables: Mapping[str, DataFrame]) -> DataFrame:
         for column in K.INDEXED.get(name, ()):
             numbered = index_categories(tables[name], column)
             more = numbered if more is None else more.unionByName(numbered)
+    if fit is None:
+        fit = base.sparkSession.createDataFrame([], "column string, category string, mean_target double, frequency long")
     given = given_values(base.sparkSession, K.GIVEN)
     more = given if more is None else more.unionByName(given)
     return checkpointed(with_ordinals(checkpointed(fit)).join(more, ["column", "category"], "full"))
@@ -111,6 +113,7 @@ def assemble_features(
 
     ``keep`` stores each roll-up and the wide table, so that no plan spans the whole job; ``narrow`` then takes a
     pass over the stored table to find the ranges. Without ``keep`` it pins the wide table first, so the job runs once.
+    Within ``files.scratch_run`` lookups, checkpoints and roll-ups stored under its folder are removed once the result is written.
     """
     lookup = fit_lookups(tables) if lookup is None else lookup
     wide = join_all(tables["base"], roll_up_all(tables, lookup, keep), kind)

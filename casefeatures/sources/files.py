@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from pyspark.sql import types as T
 from casefeatures.functions.schema import FLOAT_TYPES, INTEGER_TYPES, quoted
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+# Folders of the runs that are open, the innermost last.
+_RUNS: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -33,8 +36,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other call gets."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    """A path that no other call gets: in the folder of the run that is open (``scratch_run``), else in the shared folder."""
+    return os.path.join(_RUNS[-1] if _RUNS else shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+@contextmanager
+def scratch_run(spark: SparkSession, name: str = "run") -> Iterator[str]:
+    """Scratch tables and checkpoints made inside go to a folder of the run, which is removed at the end, also after a failure.
+
+    Write what is to stay before the run ends, to a path taken outside of it: what still reads the run's tables cannot be read any more.
+    Runs nest; two at the same time, in threads of one driver, would share the folder of the later one.
+    """
+    context = spark.sparkContext
+    folder, before = scratch_path(spark, name), context.getCheckpointDir()
+    context.setCheckpointDir(folder)
+    _RUNS.append(folder)
+    try:
+        yield folder
+    finally:
+        _RUNS.remove(folder)
+        context.setCheckpointDir(_RUNS[-1] if _RUNS else os.path.dirname(before) if before else shared_folder(spark))
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ from compare import difference
 from casefeatures.checks.oracles import ORACLES
 from casefeatures.checks.queries import QUERIES
 
-# These plan for a minute each; CASEFEATURES_ALL=1 runs them too.
-WIDE = {"table_credit_bureau_a_1", "table_credit_bureau_b_1", "table_applprev_1", "table_person_1"}
+# These plan for a minute each, the whole job for two; CASEFEATURES_ALL=1 runs them too.
+WIDE = {"table_credit_bureau_a_1", "table_credit_bureau_b_1", "table_applprev_1", "table_person_1", "assemble_features"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -8,6 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from casefeatures.checks import casetables
+from casefeatures.plans import assemble
+from casefeatures.plans import tables as K
 from casefeatures.sources import files
 
 
@@ -118,3 +121,36 @@ def test_a_damaged_part_is_named_by_the_reader(spark, tmp_path):
     spark.createDataFrame([(1,)], "k int").write.parquet(str(tmp_path / "d_2.parquet"))
     with pytest.raises(Exception, match="d_1.parquet"):
         files.scan_parts(spark, str(tmp_path / "d_*.parquet")).collect()
+
+
+def files_below(folder):
+    return sorted(os.path.join(at, name) for at, _, names in os.walk(folder) for name in names)
+
+
+def test_a_run_leaves_nothing_in_the_shared_folder(spark, small, tmp_path, monkeypatch):
+    chosen = ("debitcard_1", "tax_registry_a_1")
+    monkeypatch.setattr(K, "JOIN_ORDER", chosen)
+    tables = {n: casetables.case_table(spark, small, n) for n in ("base", *chosen)}
+    shared = files.shared_folder(spark)
+    before = files_below(shared)
+    with files.scratch_run(spark, "job") as folder:
+        assert os.path.dirname(folder) == shared
+        wide = assemble.assemble_features(tables, keep=assemble.stored_under(files.scratch_path(spark, "rollups")))
+        files.sink_parquet(wide, str(tmp_path / "wide"))
+        assert files_below(folder) and files.checkpointed(spark.range(3)).count() == 3
+    assert files_below(shared) == before and not os.path.exists(folder)
+    assert spark.read.parquet(str(tmp_path / "wide")).count() == tables["base"].count()
+    assert files.checkpointed(spark.range(3)).count() == 3  # in the shared folder again
+
+
+def test_a_run_that_fails_is_removed_and_runs_nest(spark):
+    with pytest.raises(ZeroDivisionError), files.scratch_run(spark) as outer:
+        with files.scratch_run(spark) as inner:
+            assert os.path.dirname(inner) == outer
+            kept = files.written(spark.range(5), files.scratch_path(spark, "rows"))
+            assert kept.count() == 5
+        assert os.path.dirname(files.scratch_path(spark, "rows")) == outer and not os.path.exists(inner)
+        files.written(spark.range(5), files.scratch_path(spark, "rows"))
+        1 / 0
+    assert not os.path.exists(outer)
+    assert os.path.dirname(files.scratch_path(spark, "rows")) == files.shared_folder(spark)
