@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from casefeatures.llm import decontaminate, jaccard, language, mixing, suffixes
-from casefeatures.sources.files import scratch_path, written
+from casefeatures.sources.files import scratch_path, scratch_run, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +45,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each on what the one before kept; every stage's rows are written and read again."""
+    """All stages over ``documents``, each on what the one before kept; every stage's rows are written and read again.
+
+    The tables a stage needs for itself are removed once its rows are written; the rows of the stages stay in the shared folder.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), scratch_path(spark, name))
+        path = scratch_path(spark, name)
+        with scratch_run(spark, f"{name}-run"):
+            docs = written(stage(spark, docs, sf_dir), path)
     return docs
