@@ -1,25 +1,25 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Words are turned into classes by a lexical transducer (insult and threat stems with weights, targets, negations, verbs of reported speech).
-Three small machines read a clause's classes together: one remembers that a target was named, one that a negation is near, one that the
-clause reports what somebody else said. Their product state says by which factor an insult or a threat counts; the clause's score is
-the sum of what matched, and a text's score comes from its clauses. So a bare word, a denied one and a quoted one differ. A threat is a
-sequence of whole words, the last of them its target where it names one. Reported speech goes on over a colon and a quotation mark, and
-a verb of report after a match counts for what stands before it.
+A lexical transducer turns words into classes (insult with the weight of its stem, target, negation, verb of report, and what threats are
+made of). Five weighted machines read the classes: insults and threats find matches, negations scale what they reach, targets and reported
+speech weigh the clause at its end. They are composed once into one machine; a clause's score is the sum of what its arcs weigh times what
+its last state weighs, and a text's score comes from its clauses. So a bare word, a denied one and a quoted one differ. A threat is an intent,
+an act of harm and whom it is meant for, or an act against "you" alone. Reported speech goes on over a colon and a quotation mark.
 
 Insult stems are learned from labelled texts beside the listed ones: beginnings of words that stand nearly always in toxic texts, and
-words shorter than a beginning, which count as whole words only.
-Texts are searched with one automaton of all stems, and only clauses with a hit are read by the grammar.
+words shorter than a beginning, which count as whole words only. Listed ones match as words, with an ending of ``ENDINGS`` at most.
+Texts are searched with one automaton of all stems and acts, and only clauses with a hit are read by the grammar.
 """
 
 from __future__ import annotations
 
 import math
+import operator
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
-from typing import NamedTuple
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any, NamedTuple
 
 import ahocorasick
 import numpy as np
@@ -32,10 +32,21 @@ from casefeatures.llm.jaccard import sets_of
 from casefeatures.sources.files import scratch_path, written
 
 INSULTS = ("idiot", "moron", "loser", "scum", "pathetic", "worthless", "stupid", "disgusting", "trash", "clown", "imbecile", "dumbass")
-THREATS = ("kill you", "hurt you", "destroy you", "beat you", "make you pay")
-TARGETS = ("you", "your", "you're", "youre", "he", "she", "they", "them", "him", "her", "people", "u", "ur")
-NEGATIONS = ("not", "no", "never", "isn't", "aren't", "don't", "without", "nor")
-REPORTED = ("said", "says", "called", "calls", "wrote", "quoted", "claimed", "allegedly")
+ENDINGS = ("", "s", "es", "y", "ly", "ish", "ity", "ness", "ic", "ical", "ically", "ally", "bag", "bags", "er", "est", "ed", "ing")
+#: Words of each class the grammar knows, in English, German, French and Spanish.
+CLASSES = {
+    "you": ("you", "yourself", "u", "dich", "euch", "te", "toi", "vous", "ti"),
+    "others": ("your", "ur", "him", "her", "them", "people", "everyone", "ihn", "ihnen", "dein", "deine", "tes"),
+    "subject": ("he", "she", "they", "you're", "youre", "du", "ihr", "tu", "usted", "ustedes"),
+    "negation": ("not", "no", "never", "isn't", "aren't", "don't", "won't", "without", "nor", "nicht", "kein", "keine", "nie", "pas", "jamais", "nunca"),
+    "report": ("said", "says", "called", "calls", "wrote", "quoted", "claimed", "allegedly", "sagte", "schrieb", "nannte", "angeblich", "dijo"),
+    "self": ("i", "we", "ich", "wir", "je", "nous", "yo"),
+    "intent": ("will", "gonna", "going", "shall", "werde", "werden", "vais", "allons", "voy", "vamos"),
+    "oath": ("i'll", "we'll"),
+    "harm": ("kill", "hurt", "destroy", "beat", "murder", "stab", "shoot", "strangle", "crush", "töten", "umbringen", "tuer", "matar"),
+    "make": ("make",),
+    "pay": ("pay",),
+}
 #: Labelled texts that are learned from, about; stems kept, at most; lengths of a stem.
 SAMPLE, MAX_STEMS, STEM = 20_000, 5000, (4, 5, 6, 7, 8)
 #: A stem needs so many toxic texts, such odds against the others, and such evidence (log-likelihood ratio).
@@ -47,49 +58,126 @@ NEAR = 200
 PREDICT = 0.3
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _END = re.compile(r"[.!?;:\n]")
-_CLOSING = {'"': '"', "“": "”", "„": "“”", "«": "»"}
+_CLOSING = {'"': '"', "“": "”", "„": "“", "«": "»"}
 _MARKS = re.compile('["“”„«»\n]')
+#: Class of a word; what is between words is a break if it is more than white space.
+_CLASS = {word: name for name, words in CLASSES.items() for word in words}
+_SYMBOLS = (*CLASSES, "insult", "other", "break")
+_LISTED, _ENDINGS = frozenset(INSULTS), frozenset(ENDINGS)
+
+
+class Machine(NamedTuple):
+    """A weighted transducer over word classes: per state and class the next state and the arc's weight, and what a state weighs at the end."""
+
+    start: Hashable
+    arcs: dict[Hashable, dict[str, tuple[Hashable, float]]]
+    final: dict[Hashable, float]
+
+
+def machine(start: Hashable, step: Callable[[Any, str], tuple[Hashable, float]], final: Callable[[Any], float] = lambda _: 1.0) -> Machine:
+    """The machine of all states that ``step`` leads to."""
+    arcs, todo = {}, [start]
+    while todo:
+        state = todo.pop()
+        if state not in arcs:
+            arcs[state] = {symbol: step(state, symbol) for symbol in _SYMBOLS}
+            todo += [after for after, _ in arcs[state].values()]
+    return Machine(start, arcs, {state: final(state) for state in arcs})
+
+
+def composed(a: Machine, b: Machine, weigh: Callable[[float, float], float] = operator.mul) -> Machine:
+    """Both machines over the same classes, weights of arcs multiplied (or added, for a union of matches), those of ends multiplied."""
+
+    def step(state: tuple, symbol: str) -> tuple[Hashable, float]:
+        (x, v), (y, w) = a.arcs[state[0]][symbol], b.arcs[state[1]][symbol]
+        return (x, y), weigh(v, w)
+
+    return machine((a.start, b.start), step, lambda state: a.final[state[0]] * b.final[state[1]])
+
+
+def _threat(state: tuple[str, int], symbol: str) -> tuple[tuple[str, int], float]:
+    """Intent, act, target ("i will kill him", "ich werde dich töten"), or an act against "you" ("kill you", "make you pay")."""
+    kind, left = state
+    start = ("start", 0)
+    met = symbol == "you" and kind in ("bare", "meant") or symbol == "others" and kind == "meant"
+    if met or kind == "aimed" and symbol == "harm" or kind == "made" and symbol == "pay":
+        return start, LISTED
+    if symbol == "break":
+        return start, 0.0
+    if symbol == "oath" or kind == "self" and symbol == "intent":
+        return ("intent", REACH), 0.0
+    if symbol == "self":
+        return ("self", REACH), 0.0
+    if symbol == "harm":
+        return ("meant" if kind == "intent" else "bare", 0), 0.0
+    if symbol == "make":
+        return ("make", 0), 0.0
+    if kind == "make" and symbol in ("you", "others"):
+        return ("made", 0), 0.0
+    if kind == "intent" and left == REACH and symbol in ("you", "others"):
+        return ("aimed", 0), 0.0
+    return ((kind, left - 1) if kind in ("self", "intent") and left > 1 else start), 0.0
+
+
+def _denied(left: int, symbol: str) -> tuple[int, float]:
+    if symbol == "break":
+        return left, 1.0
+    return (REACH if symbol == "negation" else max(0, left - 1)), (DENIED if left else 1.0)
+
+
+def _seen(*symbols: str) -> Callable[[bool, str], tuple[bool, float]]:
+    return lambda seen, symbol: (seen or symbol in symbols, 1.0)
+
+
+def grammar() -> Machine:
+    """Insults and threats united, composed with negation, target and reported speech; states are numbers, 0 the first."""
+    insult = machine(0, lambda state, symbol: (state, float(symbol == "insult")))
+    out = composed(insult, machine(("start", 0), _threat), operator.add)
+    out = composed(out, machine(0, _denied))
+    out = composed(out, machine(False, _seen("you", "others", "subject"), lambda seen: NAMED if seen else 1.0))
+    out = composed(out, machine(False, _seen("report"), lambda seen: QUOTED if seen else 1.0))
+    number = {state: i for i, state in enumerate([out.start, *(s for s in out.arcs if s != out.start)])}
+    arcs = {number[s]: {symbol: (number[after], w) for symbol, (after, w) in row.items()} for s, row in out.arcs.items()}
+    return Machine(0, arcs, {number[s]: w for s, w in out.final.items()})
+
+
+_GRAMMAR = grammar()
 
 
 class Grammar(NamedTuple):
-    """Stem to weight (threats may hold spaces), and the coefficients of a text's features."""
+    """Stem to weight, and the coefficients of a text's features."""
 
     stems: dict[str, float]
     coefficients: tuple[float, ...]
 
 
+def lexical(word: str, stems: dict[str, float], lengths: tuple[int, ...]) -> tuple[str, float]:
+    """Class and weight of a word in lower case: an insult weighs as much as its heaviest stem."""
+    weight = 0.0
+    for n in lengths:
+        if n == len(word) or STEM[0] <= n < len(word):
+            stem = word[:n]
+            if stem in stems and (stem not in _LISTED or word[n:].replace("’", "'").removesuffix("'s") in _ENDINGS):
+                weight = max(weight, stems[stem])
+    return ("insult", weight) if weight else (_CLASS.get(word.replace("’", "'"), "other"), 1.0)
+
+
 def clause_score(clause: str, stems: dict[str, float], lengths: tuple[int, ...], reported: bool = False) -> float:
-    """What the machines make of a clause in lower case: the sum of its matches' weights by the state each is met in. ``reported``: by what stands around."""
-    named, quoted = False, reported
-    denied, total, last = 0, 0.0, 0.0
-    threats = {m.start() for m in _THREAT.finditer(clause)}
+    """What the grammar makes of a clause in lower case. ``reported``: by what stands around it."""
+    arcs, total, done = _GRAMMAR.arcs, 0.0, 0
+    state = arcs[0]["report"][0] if reported else 0
     for found in _WORD.finditer(clause):
-        word = found[0]
-        kind = word.replace("’", "'")
-        if kind in _NEGATIONS:
-            denied = REACH + 1
-        elif kind in _REPORTED:
-            quoted = True
-        if kind in _TARGETS:
-            named = True
-            total, last = total + last * (NAMED - 1), 0.0
-        weight = max((stems.get(word[:n], 0.0) for n in lengths if n == len(word) or STEM[0] <= n < len(word)), default=0.0)
-        if weight:
-            last = weight * (DENIED if denied else 1.0)
-            total += last * (NAMED if named else 1.0)
-            last = 0.0 if named else last
-        if found.start() in threats:  # it names its target
-            total += LISTED * NAMED * (DENIED if denied else 1.0)
-        denied = max(0, denied - 1)
-    return total * (QUOTED if quoted else 1.0)
-
-
-_TARGETS, _NEGATIONS, _REPORTED = frozenset(TARGETS), frozenset(NEGATIONS), frozenset(REPORTED)
-_THREAT = re.compile(r"(?<![\w'’])(?:" + "|".join(t.replace(" ", r"[^\S\n]+") for t in THREATS) + r")(?![\w]|['’]\w)")
+        if clause[done : found.start()].strip():
+            state = arcs[state]["break"][0]
+        symbol, weight = lexical(found[0], stems, lengths)
+        state, arc = arcs[state][symbol]
+        total += arc * weight
+        done = found.end()
+    return total * _GRAMMAR.final[state]
 
 
 def _reports(piece: str) -> bool:
-    return any(w in _REPORTED for w in _WORD.findall(piece))
+    return any(_CLASS.get(w) == "report" for w in _WORD.findall(piece))
 
 
 def _quotations(low: str) -> tuple[list[int], list[int]]:
@@ -126,7 +214,7 @@ def _reported_around(low: str, a: int, b: int, quotations: tuple[list[int], list
 
 def _automaton(stems: dict[str, float]) -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    for stem in {*stems, *(t.split()[0] for t in THREATS)}:
+    for stem in {*stems, *CLASSES["harm"], *CLASSES["make"]}:
         found.add_word(stem, len(stem))
     found.make_automaton()
     return found
@@ -271,8 +359,8 @@ def held_out(fold: int = 2, of: int = 4) -> F.Column:
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``doc_id``, ``held_out``, ``score``, ``predicted`` (score of at least 0.3) of every row, learned from labels of rows not held out.
 
-    Null and empty texts have the score of a text without a match; rows of null doc_id are held out; of several labels of a doc_id the largest
-    counts; without labels of both kinds the listed stems and plain coefficients are used; no rows give no rows. Further columns are not read.
+    Null and empty texts have the score of a text without a match; rows of null doc_id are held out; repeated rows are scored alike; null labels
+    and labels of a null doc_id are left out; of several labels of a doc_id the largest counts; without labels of both kinds the listed stems and plain coefficients are used; no rows give no rows. Further columns are not read.
     """
     grammar = learned(docs.where(~held_out()), labels, sample)
     found = scored(docs.select("doc_id", "text"), grammar)

@@ -75,6 +75,37 @@ def test_threats():
     assert [_best(t) for t in ("we beat your price", "a skill you need", "make you payments", "if looks could kill, you know")] == [0.0] * 4
 
 
+def test_threats_are_composed_of_intent_act_and_target():
+    plain = _best("I will hurt you")
+    for text in ("i will murder you", "i will kill him", "we will hurt your family", "we'll destroy them", "ich werde dich töten", "i am going to stab you", "kill yourself"):
+        assert _best(text) == plain, text
+    assert _best("i will not kill him") == _best("we’ll never crush them") == plain * toxicity.DENIED
+    for text in ("the frost will kill them", "he will hurt, them too", "we will see what they shoot", "i will tell you how to kill weeds", "you pay", "we will, he said"):
+        assert _best(text) == 0.0, text
+
+
+def test_listed_insults_are_words():
+    assert _best("clownfish are pretty") == _best("trashcan lids") == 0.0
+    assert _best("stupidity") == _best("clowns") == _best("clown's") == _best("stupid") > 0
+
+
+def test_composed_machine_is_its_machines_together():
+    """Every arc and end of the composition weighs what the five machines weigh that read the same classes one beside the other."""
+    rng = random.Random(5)
+    for _ in range(300):
+        symbols = [rng.choice(toxicity._SYMBOLS) for _ in range(rng.randrange(1, 12))]
+        threat, left, state, total, want = ("start", 0), 0, 0, 0.0, 0.0
+        for symbol in symbols:
+            state, arc = toxicity._GRAMMAR.arcs[state][symbol]
+            total += arc
+            threat, found = toxicity._threat(threat, symbol)
+            left, factor = toxicity._denied(left, symbol)
+            want += (found + (symbol == "insult")) * factor
+        named = toxicity.NAMED if {"you", "others", "subject"} & set(symbols) else 1.0
+        want *= named * (toxicity.QUOTED if "report" in symbols else 1.0)
+        assert total * toxicity._GRAMMAR.final[state] == pytest.approx(want), symbols
+
+
 def test_reported_speech():
     plain = _best("you are an idiot")
     for text in ("he said: you are an idiot", "\"You are an idiot\", he said", "You are an idiot, she wrote", "He said, “Go home! You are an idiot.”", "\"You are an idiot!\" he said.", "he said: i will kill you"):

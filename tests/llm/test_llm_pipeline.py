@@ -8,6 +8,7 @@ import sys
 from helpers import DOCS, prose
 
 import corpus_pipeline
+from casefeatures.sources.files import shared_folder
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -37,7 +38,13 @@ def test_planted_cases(spark, tmp_path):
     assert all(seen["suffix_dedup"][i] == t for i, t, *_ in clean)
     assert set(seen["decontamination"]) == ids | {104, 105}
     assert set(seen["source_mixing"]) <= ids | {104, 105}
-    assert corpus_pipeline.run(spark, str(tmp_path)).columns == DOCS.replace(" long", "").replace(" string", "").split(", ")
+    shared = shared_folder(spark)
+    before = set(os.listdir(shared))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    left = {n for n in set(os.listdir(shared)) - before if any(files for _, _, files in os.walk(f"{shared}/{n}"))}
+    assert sorted(n.rsplit("-", 1)[0] for n in left) == sorted(n for n, _ in corpus_pipeline.STAGES)  # the stages' rows only
+    assert {r["doc_id"] for r in out.collect()} <= ids | {104, 105}
+    assert out.columns == DOCS.replace(" long", "").replace(" string", "").split(", ")
 
 
 def test_nothing_else_imports_the_package():
