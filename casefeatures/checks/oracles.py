@@ -331,6 +331,20 @@ oracle(
        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place_of_user FROM he""",
 )
 
+ORACLES["hot_mode"] = ORACLES["agg_mode"]
+
+
+def tied(keys: str, order: str, source: str) -> str:
+    return f"SELECT {keys}, CAST(count(*) AS BIGINT) AS tied_rows FROM (SELECT *, count(*) OVER (PARTITION BY {keys}, {order}) AS n FROM {source}) WHERE n > 1 GROUP BY {keys}"
+
+
+oracle("order_ties", tied("l_suppkey", "l_shipdate", "lineitem"))
+oracle(
+    "order_report",
+    f"""SELECT 'debitcard_1' AS "table", count(*) AS tied_keys, CAST(coalesce(sum(tied_rows), 0) AS BIGINT) AS tied_rows
+FROM ({tied('o_custkey', 'o_orderkey % 4', 'orders')}) UNION ALL SELECT 'deposit_1', 0, 0""",
+)
+
 # --- whole jobs --------------------------------------------------------------------------------
 
 _lines = f"""li AS (SELECT l_orderkey AS num_group1, {LINE_NUMBER} AS n2, nullif(l_discount, 0) AS "disc_1A", l_quantity AS "qty_2A",

@@ -13,6 +13,7 @@ from casefeatures.functions import schema as S
 from casefeatures.operators import aggregates as A
 from casefeatures.operators import encode as E
 from casefeatures.operators import joins as J
+from casefeatures.operators import sequence
 from casefeatures.operators.hotgroups import exact_median, exact_mode, row_numbers
 from casefeatures.operators.sequence import group_features, peak_places, sequence_features
 from casefeatures.checks import casetables
@@ -524,6 +525,12 @@ def agg_peak_drop(spark, d):
 
 @query
 def agg_mode(spark, d):
+    return _by_customer(spark, d, A.mode_of(F.col("o_orderpriority")).alias("priority_mode"))
+
+
+@query
+def hot_mode(spark, d):
+    """The same from counts per value, for columns of many values."""
     return exact_mode(case_orders(spark, d), ["o_custkey"], "o_orderpriority", "priority_mode")
 
 
@@ -720,6 +727,19 @@ def hot_row_numbers(spark, d):
     return row_numbers(whole, ["user_id"], ["ts", "event_id"], "place_of_user", limit=500).drop("ts")
 
 
+@query
+def order_ties(spark, d):
+    return sequence.order_ties(table(spark, d, "lineitem"), ["l_suppkey"], ["l_shipdate"])
+
+
+@query
+def order_report(spark, d):
+    """Two tables of the job, one of them with only four numbers for its depth-1 rows."""
+    tables = {n: casetables.case_table(spark, d, n) for n in ("deposit_1", "debitcard_1")}
+    tables["debitcard_1"] = tables["debitcard_1"].withColumn("num_group1", F.col("num_group1") % 4)
+    return assemble.order_report(tables)
+
+
 @query
 def hot_auc(spark, d):
     return scores.weighted_auc(_scored(spark, d), "score", "target", "weight", limit=100).select(fixed4(F.col("auc")).alias("auc"))

@@ -155,3 +155,14 @@ def sequence_features(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 def peak_places(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
     slim = df.select(*[quoted(c) for c in dict.fromkeys([*keys, *order, *columns])])
     return group_features(slim, keys, order, peaks=columns)
+
+
+def order_ties(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Keys whose order is not unique, with ``tied_rows``: rows that share their order with another row of the key. Nulls are equal.
+
+    First, last and step features of such a key depend on which of the tied rows comes first. Counts combine before the shuffle, and a
+    key's rows are dealt by its order as well, so that a hot key is no single task; no rows where every order is unique.
+    """
+    by, along = [quoted(k) for k in keys], [quoted(o) for o in order]
+    shared = df.groupBy(*by, *along).agg(F.count(F.lit(1)).alias("tied_rows")).where("tied_rows > 1")
+    return shared.groupBy(*by).agg(F.sum("tied_rows").alias("tied_rows"))

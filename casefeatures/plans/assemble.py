@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casefeatures.functions import rows as R
 from casefeatures.functions.schema import cast_by_suffix, narrow_types, parse_date, quoted
 from casefeatures.operators.encode import given_values, index_categories, lookup_sizes, with_ordinals
 from casefeatures.operators.joins import join_base
+from casefeatures.operators.sequence import order_ties
 from casefeatures.plans import tables as K
-from casefeatures.plans.rollup import fit_table, rollup_depth1, rollup_depth2, static_table
+from casefeatures.plans.rollup import KEYS, ORDER, fit_table, rollup_depth1, rollup_depth2, static_table
 from casefeatures.sources.files import bucketed, checkpointed, scan_parts, written
 
 NO_FEATURES = ("target", "case_id", "WEEK_NUM", "MONTH", "date_decision")
@@ -69,6 +71,22 @@ def roll_up_all(
     return out
 
 
+def order_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """``table``, ``tied_keys``, ``tied_rows`` of every table that is rolled up: where its rows have no order of their own within a key.
+
+    One row per table, zeros where the order is unique. Rolled-up features that follow the order are then the same on any partitioning.
+    """
+    out = None
+    for name, spec in K.SPECS.items():
+        if name in tables and spec.depth:
+            ties = order_ties(tables[name], KEYS[spec.depth], ORDER[spec.depth])
+            row = ties.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("tied_keys"), F.coalesce(F.sum("tied_rows"), F.lit(0)).alias("tied_rows"))
+            out = row if out is None else out.unionByName(row)
+    if out is None:
+        raise ValueError("no table is rolled up")
+    return out
+
+
 def stored_under(path: str) -> Callable[[str, DataFrame], DataFrame]:
     return lambda name, df: written(df, f"{path}/{name}")
 

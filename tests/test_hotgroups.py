@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casefeatures.operators import hotgroups as H
-from casefeatures.operators.sequence import group_features, peak_places, sequence_features
+from casefeatures.operators.sequence import group_features, order_ties, peak_places, sequence_features
 
 KINDS = ("tail_mean", "tail_max", "diffmean", "diffstd", "difflast")
 
@@ -134,3 +134,11 @@ def test_medians_of_many_columns_at_once(spark, rows_per_task, monkeypatch):
     assert {r["k"]: list(r) for r in got.collect()} == want
     assert len(made) <= 1
     assert want[1][4] is None and want[0][4] == 44.5
+
+
+def test_order_ties(spark):
+    rows = [(1, 1, "a"), (1, 1, "b"), (1, 2, "c"), (2, 1, "d"), (None, None, "e"), (None, None, "f"), (3, None, "g"), (3, None, "h"), (3, 5, "i"), (3, 5, "j")]
+    df = spark.createDataFrame(rows, "case_id long, num_group1 long, tied_rows string")  # a column of the result's name
+    out = {r["case_id"]: r["tied_rows"] for r in order_ties(df, ["case_id"], ["num_group1"]).collect()}
+    assert out == {1: 2, None: 2, 3: 4}
+    assert order_ties(df.limit(0), ["case_id"], ["num_group1"]).collect() == []
