@@ -287,7 +287,9 @@ def _within(docs: DataFrame, classes: DataFrame, families: DataFrame, roots: Dat
     sets = _sets(docs, dealt.join(classes.select("cls", "doc_id", "ka", "kb"), "cls"), ["cls", "fam", "lot"])
     counts = sets.select("fam", F.explode("tokens").alias("token")).groupBy("fam", "token").agg(F.count("*").alias("n"))
     centres = counts.join(open_, "fam").where(F.col("n") * 2 > F.col("members")).groupBy("fam").agg(F.collect_list("token").alias("others"))
-    centres = written(copies.join(centres, "fam"), scratch_path(spark, "centres"))
+    # A family that drifts from text to text may have no token in most of its classes: its centre is empty, all tokens are additions.
+    centres = copies.join(centres, "fam", "left").withColumn("others", F.coalesce("others", F.array().cast("array<long>")))
+    centres = written(centres, scratch_path(spark, "centres"))
     lost, added = F.array_except("others", "tokens"), F.array_except("tokens", "others")
     sets = sets.join(centres, ["fam", "lot"]).select("cls", lost.alias("lost"), added.alias("added"), F.size("tokens").alias("n"), F.size("others").alias("h"))
     need = 2 * percent * F.col("n") + unit * F.size("lost") - (100 + percent) * F.col("h")

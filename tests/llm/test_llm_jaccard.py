@@ -98,6 +98,15 @@ def test_large_family_of_near_misses(spark, monkeypatch, seed):
     assert sum(looked_at) < len(rows) ** 2 / 20  # a tenth of all pairs; the lists of shared tokens would give nearly all
 
 
+def test_drifting_copies(spark):
+    """Every text drops the first words of the one before and goes on: one family, no word of which stands in most texts."""
+    step, rng = 10, random.Random(10)
+    long = prose(rng, 100 + step * 80, 10**6).split()
+    texts = [" ".join(long[step * i : step * i + 100]) for i in range(80)]
+    rows = [(i, t, None, None, 0) for i, t in enumerate(rng.sample(texts, 80))]
+    assert got(jaccard.jaccard_classes(frame(spark, rows))) == brute(rows)
+
+
 def test_repeated_rows_null_ids_and_more_columns(spark):
     rows = corpus()[:14]
     rows += [rows[0], rows[0], (None, rows[0][1], None, None, 0), (None, "quite alone here it stands now", None, None, 0), (None, None, None, None, None)]
