@@ -234,3 +234,20 @@ def test_losers_of_the_first_fold_are_left(searched):
     first = {i: trees.fold_scores(trees.predict_held_out(trees.train_boosted_trees(data, features, p, folds=1, weight=None), data, features), weight=None).first()["auc"] for i, p in enumerate(draws)}
     worst = min(first, key=lambda i: (first[i], -i))
     assert got[2] == (worst, None) and dict(got[:2]) == {i: s for i, s in whole.items() if i != worst}
+
+
+@pytest.mark.parametrize("weight", ["weights", None])
+def test_equal_rows_are_merged_to_the_same_trees(spark, monkeypatch, weight):
+    """Few different rows, each many times: the fit takes one of each, and every tree and the stopping place stay."""
+    rows = [(i % 3, float(i % 7), float(i % 11) if i % 11 else None, int((i * 7919) % 100 < 10 * (i % 7) + 3 * (i % 11)), 0.5 + i % 2) for i in range(5000)]
+    data = spark.createDataFrame(rows, "fold int, a double, b double, target int, weights double")
+    features, params = trees.Features(["a", "b"]), {"maxDepth": 2, "maxIter": 12, "stepSize": 0.2}
+    sizes, plain = [], trees._fitted
+    monkeypatch.setattr(trees, "_fitted", lambda ready, *a: sizes.append(ready.count()) or plain(ready, *a))
+    few = trees.train_boosted_trees(data, features, params, folds=3, weight=weight, patience=4)
+    monkeypatch.setattr(trees, "merged_rows", lambda ready, weight: (ready, weight))
+    all_ = trees.train_boosted_trees(data, features, params, folds=3, weight=weight, patience=4)
+    assert sizes[0] <= 3 * 7 * 11 * 2 * 2 < sizes[1] == 5000
+    assert trees.tree_counts(few) == trees.tree_counts(all_)
+    a, b = (trees.predict_held_out(m, data, features).groupBy("fold", "a", "b").agg(F.max("score").alias("s")).orderBy("fold", "a", "b").collect() for m in (few, all_))
+    assert [r["s"] for r in a] == pytest.approx([r["s"] for r in b], abs=1e-9)
