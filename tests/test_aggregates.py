@@ -5,6 +5,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from casefeatures.operators import aggregates as A
+from casefeatures.operators.sequence import group_features
 
 
 # Days since 1970 that deviate by just so many days.
@@ -28,3 +29,12 @@ def test_deviation_of_few_and_far_dates(spark):
     found = {r["k"]: (r["std"], r["plain"]) for r in df.groupBy("k").agg(A.date_std(F.col("day")).alias("std"), F.floor(F.stddev_samp(F.unix_date("day"))).alias("plain")).collect()}
     assert found[1] == found[2] == (None, None)
     assert all(std == plain for std, plain in found.values())
+
+
+def test_marked_rows_are_not_sorted_again(spark):
+    """Modes next to sequence features are taken from the rows in the order the windows leave them in."""
+    df = spark.range(100).select((F.col("id") % 9).alias("k"), F.col("id").alias("o"), (F.col("id") % 4 * 1.0).alias("v"))
+    out = group_features(df, ["k"], ["o"], [A.mode_of(F.col("v")).alias("v_mode")], ["v"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" in plan and "ObjectHashAggregate" not in plan and plan.count("- Sort [") == 1
+    assert out.count() == 9
