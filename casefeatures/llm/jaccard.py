@@ -167,9 +167,9 @@ def _prefixes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(work, _PREFIXES)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, carry: list[str]) -> DataFrame:
-    """``carry`` and ``tokens`` for the rows of ``wanted`` (``doc_id``, ``ka``, ``kb`` of one member each, and ``carry``)."""
-    few = wanted.count() <= BROADCAST_ROWS
+def _sets(docs: DataFrame, wanted: DataFrame, carry: list[str], most: int) -> DataFrame:
+    """``carry`` and ``tokens`` for the rows of ``wanted`` (``doc_id``, ``ka``, ``kb`` of one member each, and ``carry``), ``most`` at most."""
+    few = most <= BROADCAST_ROWS or wanted.count() <= BROADCAST_ROWS
     wanted = wanted.withColumnRenamed("doc_id", "_id")
     joined = docs.select("doc_id", "text").join(F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("_id")))
 
@@ -210,8 +210,9 @@ def _with_sets(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFra
     """``pairs`` (``a``, ``b``) with the sets of both (``tokens``, ``others``)."""
     names = classes.select("cls", "doc_id", "ka", "kb")
     dealt, copies = _in_lots(pairs, "a", "b")
-    left = _sets(docs, dealt.join(names.withColumnRenamed("cls", "a"), "a"), ["a", "b", "lot"])
-    right = _sets(docs, copies.join(names.withColumnRenamed("cls", "b"), "b"), ["b", "lot"]).withColumnRenamed("tokens", "others")
+    most = pairs.count()  # a hub has no more lots than pairs
+    left = _sets(docs, dealt.join(names.withColumnRenamed("cls", "a"), "a"), ["a", "b", "lot"], most)
+    right = _sets(docs, copies.join(names.withColumnRenamed("cls", "b"), "b"), ["b", "lot"], most).withColumnRenamed("tokens", "others")
     return left.join(right, ["b", "lot"]).drop("lot")
 
 
@@ -284,7 +285,7 @@ def _within(docs: DataFrame, classes: DataFrame, families: DataFrame, roots: Dat
     open_ = placed.groupBy("fam").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members")).where("lo < hi").select("fam", "members")
     placed = written(placed.join(open_, "fam"), scratch_path(spark, "open"))
     dealt, copies = _in_lots(placed, "cls", "fam")
-    sets = _sets(docs, dealt.join(classes.select("cls", "doc_id", "ka", "kb"), "cls"), ["cls", "fam", "lot"])
+    sets = _sets(docs, dealt.join(classes.select("cls", "doc_id", "ka", "kb"), "cls"), ["cls", "fam", "lot"], placed.count())
     counts = sets.select("fam", F.explode("tokens").alias("token")).groupBy("fam", "token").agg(F.count("*").alias("n"))
     centres = counts.join(open_, "fam").where(F.col("n") * 2 > F.col("members")).groupBy("fam").agg(F.collect_list("token").alias("others"))
     # A family that drifts from text to text may have no token in most of its classes: its centre is empty, all tokens are additions.

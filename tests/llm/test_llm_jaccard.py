@@ -149,3 +149,42 @@ def test_components_of_a_chain(spark, chain):
     links = spark.createDataFrame([(i, i + 1) for i in range(chain)] + [(100, 101), (7, 7)], "a long, b long")
     roots = {r["node"]: r["root"] for r in graph.components(links).collect()}
     assert roots == {**dict.fromkeys(range(chain + 1), 0), 100: 100, 101: 100}
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_components_of_many_shapes(spark, monkeypatch, broadcast):
+    """Random graphs, stars whose centre is not the smallest node and long chains, with nodes broadcast and shuffled, against union-find."""
+    monkeypatch.setattr(graph, "BROADCAST_NODES", broadcast)
+    monkeypatch.setattr(graph, "TASK_ROWS", 50)
+    rng = random.Random(3)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(140)]
+    links += [(1500, n) for n in rng.sample(range(1000, 2000), 200)] + [(n + 1, n) for n in range(3000, 3060)]
+    root = {n: n for link in links for n in link}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    linked = {n for a, b in links if a != b for n in (a, b)}
+    found = graph.components(spark.createDataFrame(links + links[:50], "a long, b long")).collect()
+    assert sorted(map(tuple, found)) == sorted((n, find(n)) for n in linked)
+
+
+def test_small_graph_takes_few_tasks(spark):
+    """A few links are not dealt over as many tasks as a shuffle has partitions, time and again."""
+    spark.conf.set("spark.sql.shuffle.partitions", "97")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        spark.sparkContext.setJobGroup("small graph", "")
+        graph.components(spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long")).collect()
+        tracker = spark.sparkContext.statusTracker()
+        stages = {s for j in tracker.getJobIdsForGroup("small graph") for s in tracker.getJobInfo(j).stageIds}
+        assert sum(tracker.getStageInfo(s).numCompletedTasks for s in stages if tracker.getStageInfo(s)) < 4 * 97
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
