@@ -14,7 +14,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

@@ -188,3 +188,20 @@ def test_small_graph_takes_few_tasks(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         spark.conf.set("spark.sql.shuffle.partitions", "8")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_words_of_a_batch_take_little_memory():
+    """What words() holds beside its result is bounded well below the batch's own hashes, so that the workers of an executor stay small."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from casefeatures.llm.words import SPACES
+    from casefeatures.llm.words import words as cut
+
+    column = pa.array([prose(random.Random(i), 2000) for i in range(300)])
+    tracemalloc.start()
+    n = sum(len(w.hashes) for w in cut(column, SPACES))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 300 * 2000 and peak < 24 << 20
