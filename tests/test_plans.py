@@ -50,3 +50,29 @@ def test_no_query_pairs_rows_without_keys_or_runs_python_per_row(spark, small):
     for name in ("rollup_depth1", "rollup_depth2", "join_base", "encode_ordinal", "weighted_auc", "agg_argmax_pos", "class_weight_by_group"):
         plan = plan_of(QUERIES[name](spark, small))
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan, name
+
+
+def test_modes_come_from_rows_sorted_once(spark, rows_per_task):
+    """A roll-up with modes and no sequence features sorts its cold rows once, hot keys combine early; both give what one plain aggregate gives."""
+    from casefeatures.operators import aggregates as A
+    from casefeatures.operators.sequence import group_features
+
+    rows = [(i % 50 if i < 2000 else 7 if i % 3 else None, i, float(i * 7919 % 5)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "case_id long, num_group1 long, kind double").repartition(5)
+    aggs = [A.mode_of(F.col("kind")).alias("m"), A.last_nonnull(F.col("kind"), F.col("num_group1")).alias("l"), F.avg("kind").alias("a")]
+    want = sorted(map(tuple, df.groupBy("case_id").agg(*aggs).collect()), key=str)
+    cold = group_features(df, ["case_id"], ["num_group1"], aggs=aggs, modes=True)
+    assert sorted(map(tuple, cold.collect()), key=str) == want
+    plan = plan_of(cold).split("Initial Plan")[0]
+    assert "ObjectHashAggregate" not in plan and plan.count("SortAggregate") == 1
+    rows_per_task(100)
+    assert sorted(map(tuple, group_features(df, ["case_id"], ["num_group1"], aggs=aggs, modes=True).collect()), key=str) == want
+
+
+def test_roll_up_with_modes_sorts_its_rows(spark):
+    from casefeatures.plans.rollup import reduce_table
+    from casefeatures.plans.spec import TableSpec
+
+    df = spark.range(2000).select((F.col("id") % 300).alias("case_id"), F.col("id").alias("num_group1"), (F.col("id") % 3).cast("double").alias("x_1M_encoded"))
+    out = reduce_table(df, TableSpec(name="t", depth=1, order_endings=("_encoded",)))
+    assert "ObjectHashAggregate" not in plan_of(out)
