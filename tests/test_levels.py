@@ -1,5 +1,7 @@
 """Roll-ups, joins of the levels and the whole job on a few tables."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,31 @@ def test_bucketed_roll_ups_are_joined_without_shuffling_them(spark, small, monke
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for n in chosen:
             spark.sql(f"drop table rolled_{n}")
+
+
+def test_roll_ups_are_stored_side_by_side(spark, small, monkeypatch):
+    chosen = ("deposit_1", "debitcard_1")
+    monkeypatch.setattr(K, "JOIN_ORDER", chosen)
+    tables = {n: casetables.case_table(spark, small, n) for n in ("base", *chosen)}
+    lookup, met = assemble.fit_lookups(tables), threading.Barrier(len(chosen))
+
+    def keep(name, df):
+        met.wait(60)
+        return df.withColumn("of", F.lit(name))
+
+    rolled = assemble.roll_up_all(tables, lookup, keep)
+    assert tuple(rolled) == chosen and all(df.select("of").distinct().collect() == [(n,)] for n, df in rolled.items())
+
+
+def test_wide_roll_ups_are_joined_last_and_columns_keep_their_order(spark, monkeypatch):
+    monkeypatch.setattr(K, "JOIN_ORDER", ("wide", "slim"))
+    base = spark.createDataFrame([(5, 1), (5, 2), (6, 3)], "WEEK_NUM long, case_id long")
+    wide = spark.createDataFrame([(1, 1.0, 2.0, 3.0), (2, 4.0, 5.0, 6.0)], "case_id long, a double, b double, WEEK_NUM double")
+    slim = spark.createDataFrame([(1, 7.0), (3, 8.0)], "case_id long, a double")
+    widths = []
+    monkeypatch.setattr(assemble, "join_base", lambda left, side, how: widths.append(len(side.columns)) or J.join_base(left, side, how))
+    for kind, rows in (("train", {(1, 5, 1.0, 2.0, 3.0, 7.0)}), ("test", {(1, 5, 1.0, 2.0, 3.0, 7.0), (2, 5, 4.0, 5.0, 6.0, None), (3, 6, None, None, None, 8.0)})):
+        out = assemble.join_all(base, {"wide": wide, "slim": slim}, kind)
+        assert out.columns == ["case_id", "WEEK_NUM", "a", "b", "WEEK_NUM_right", "a_right"]
+        assert set(map(tuple, out.collect())) == rows
+    assert widths == [2, 4, 2, 4]
