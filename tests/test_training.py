@@ -251,3 +251,23 @@ def test_equal_rows_are_merged_to_the_same_trees(spark, monkeypatch, weight):
     assert trees.tree_counts(few) == trees.tree_counts(all_)
     a, b = (trees.predict_held_out(m, data, features).groupBy("fold", "a", "b").agg(F.max("score").alias("s")).orderBy("fold", "a", "b").collect() for m in (few, all_))
     assert [r["s"] for r in a] == pytest.approx([r["s"] for r in b], abs=1e-9)
+
+
+def test_a_search_scores_equal_rows_once(spark, monkeypatch):
+    """Few different rows, each many times: one of each is scored and counts as many, and the scores stay. The rows scored are computed once."""
+    rows = [(i % 2, float(i % 7), float(i % 11) if i % 11 else None, int((i * 7919) % 100 < 10 * (i % 7) + 3 * (i % 11))) for i in range(4000)]
+    data = spark.createDataFrame(rows, "fold int, a double, b double, target int")
+    features, draws = trees.Features(["a", "b"]), [{"maxDepth": 2, "maxIter": 3, "stepSize": 0.3, "subsamplingRate": 0.7}]
+    scored, plain = [], trees.predict_held_out
+    monkeypatch.setattr(trees, "predict_held_out", lambda models, rows, *a: scored.append(rows.count()) or plain(models, rows, *a))
+    few = ranked(trees.param_search(data, features, draws, folds=2, weight=None))
+    monkeypatch.setattr(trees, "merged_rows", lambda ready, weight: (ready, weight))
+    assert few == ranked(trees.param_search(data, features, draws, folds=2, weight=None))
+    assert scored[0] <= 2 * 7 * 11 * 2 < scored[1] == 4000
+
+
+def test_rows_of_the_model_queries_are_computed_once(spark, small):
+    from casefeatures.checks.queries import _model_rows
+
+    plan = _model_rows(spark, small)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "parquet" not in plan and "RDD" in plan
