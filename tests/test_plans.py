@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from casefeatures.checks import queries as Q
 from casefeatures.checks.queries import QUERIES
+from casefeatures.operators import encode as E
+from casefeatures.plans import rollup as P
+from casefeatures.plans.spec import TableSpec
 
 
 def plan_of(df) -> str:
@@ -76,3 +79,22 @@ def test_roll_up_with_modes_sorts_its_rows(spark):
     df = spark.range(2000).select((F.col("id") % 300).alias("case_id"), F.col("id").alias("num_group1"), (F.col("id") % 3).cast("double").alias("x_1M_encoded"))
     out = reduce_table(df, TableSpec(name="t", depth=1, order_endings=("_encoded",)))
     assert "ObjectHashAggregate" not in plan_of(out)
+
+
+def test_rows_are_dealt_for_the_join_with_their_child_before_they_are_encoded(spark):
+    """Reading and encoding are two generated methods, neither too large to be compiled, and the rows are still dealt once for the join."""
+    spec = TableSpec(name="t", depth=1, child="c", categories=(E.valued("flag_4M", "flag_4M_encoded"),), stats={"x_sum": ("sum", "x_1A")}, order_endings=("_encoded",), sequences=True)
+    rows = spark.range(60).selectExpr("id % 7 AS case_id", "id AS num_group1", "CAST(id AS DOUBLE) AS x_1A", "CASE WHEN id % 2 = 0 THEN 'a' END AS flag_4M")
+    child = spark.range(0, 60, 2).selectExpr("id % 7 AS case_id", "id AS num_group1", "1 AS n").groupBy("case_id", "num_group1").agg(F.sum("n").cast("double").alias("y_2A"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = P.rollup_depth1(rows, spec, E.given_values(spark, {"flag_4M": {"a": 1.0}}), child)
+        plan = initial(out)
+        got = {r["case_id"]: (r["x_sum"], r["flag_4M_encoded_mode"]) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = re.search(r"Exchange hashpartitioning\(case_id#\d+L, num_group1#\d+L, \d+\), REPARTITION_BY_COL", plan)
+    assert dealt and plan.index("BroadcastHashJoin") < dealt.start()
+    assert len(re.findall(r"Exchange hashpartitioning\(case_id#\d+L, num_group1#", plan)) == 2  # the rows, and the child's own roll-up
+    assert got == {k: (float(sum(i for i in range(60) if i % 7 == k)), 1.0) for k in range(7)}
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
