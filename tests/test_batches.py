@@ -80,3 +80,21 @@ def test_wide_roll_ups_run_no_windows_over_their_columns(spark):
     df = spark.range(400).selectExpr("id % 40 AS case_id", "id AS num_group1", *[f"CAST(id % {i + 2} AS DOUBLE) AS c{i}_1A" for i in range(30)])
     plan = initial(P.reduce_table(df, TableSpec(name="t", depth=1, sequences=True, stats={f"c{i}_sum": ("sum", f"c{i}_1A") for i in range(30)})))
     assert plan.count("windowspecdefinition") <= 1 and "Aggregate" not in plan and "MapInArrow" in plan
+
+
+def test_rows_of_an_even_table_are_dealt_once(spark):
+    """Failed before: rows were dealt by case and number for the join with their child, and once more, encoded and joined, by case."""
+    spec = TableSpec(name="t", depth=1, child="c", stats={"x_sum": ("sum", "x_1A")}, sequences=True)
+    rows = spark.range(6000).selectExpr("id % 2000 AS case_id", "id AS num_group1", "CAST(id AS DOUBLE) AS x_1A")
+    child = spark.range(0, 6000, 2).selectExpr("id % 2000 AS case_id", "id AS num_group1", "1 AS n").groupBy("case_id", "num_group1").agg(F.sum("n").cast("double").alias("y_2A"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = P.rollup_depth1(rows, spec, None, child)
+        plan = initial(out)
+        got = {r["case_id"]: (r["x_sum"], r["y_2A_difflast"]) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("REPARTITION_BY_COL" in line for line in dealt) == 1
+    assert len(dealt) <= 3 and all("case_id" in line for line in dealt)  # the rows, the child's own roll-up, and that to the rows
+    assert got == {k: (float(3 * k + 6000), 0.0 if k % 2 == 0 else None) for k in range(2000)}
